@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from docweave import schemas as S
+from docweave.functions.arrow import STAMP, RepeatedMaps, longs, micros, texts
 from docweave.functions.columns import completeness, stock_text
 from docweave.functions.lifecycle import (
     DELETED,
@@ -44,6 +45,7 @@ from docweave.operators.running import (
 )
 from docweave.operators.stock_map import STOCK_MAP, attach_stock_map
 
+_NO_PAIR, _NO_STOCK = (None,) * 8, (None,) * 2
 _STATE_FIELDS = [f for f in S.DOCUMENT.fields if f.name not in ("product_id", "completeness", "indexed_at")]
 
 #: One row per event: what became of it and the document it made, if any.
@@ -83,27 +85,6 @@ def lifecycle_documents(history: DataFrame) -> DataFrame:
 
 
 _PASSED = ("seq", "arrival_ts", "product_id", "kind")
-_STAMP = pa.timestamp("us", tz="UTC")
-_ARROW_TYPES = {
-    "outcome": pa.string(),
-    "other_side": pa.bool_(),
-    "name": pa.string(),
-    "category": pa.string(),
-    "brand": pa.string(),
-    "description": pa.string(),
-    "price": pa.decimal128(38, 18),
-    "currency": pa.string(),
-    "total_stock": pa.int64(),
-    STOCK_MAP: pa.map_(pa.string(), pa.int32()),
-    "last_product_update": _STAMP,
-    "last_price_update": _STAMP,
-    "last_stock_update": _STAMP,
-}
-_NO_DOCUMENT = (None,) * (len(_ARROW_TYPES) - 2)
-
-
-def _micros(column: pa.Array) -> list:
-    return column.cast(_STAMP).cast(pa.int64()).to_pylist()
 
 
 def _streamed(changes: DataFrame, layout: Layout, lifetimes: Lifetimes) -> DataFrame:
@@ -111,28 +92,52 @@ def _streamed(changes: DataFrame, layout: Layout, lifetimes: Lifetimes) -> DataF
         current, state = None, ProductState()
         for batch in batches:
             data = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            ids, kinds = data["product_id"].to_pylist(), data["kind"].to_pylist()
-            now, at = _micros(data["arrival_ts"]), _micros(data["updated_at"])
-            product = list(zip(*(data[f].to_pylist() for f in S.PRODUCT_FIELDS)))
-            price = list(zip(*(data[f].to_pylist() for f in S.PRICE_FIELDS)))
-            warehouse, quantity = data["warehouse_id"].to_pylist(), data["quantity"].to_pylist()
-            out = []
-            for i, key in enumerate(ids):
+            events = map(
+                Event,
+                texts(data["kind"]),
+                micros(data["arrival_ts"]),
+                micros(data["updated_at"]),
+                zip(*(texts(data[f]) for f in S.PRODUCT_FIELDS)),
+                zip(*(texts(data[f]) for f in S.PRICE_FIELDS)),
+                texts(data["warehouse_id"]),
+                longs(data["quantity"]),
+            )
+            outcomes, sides, pairs, stock, maps = [], [], [], [], RepeatedMaps()
+            for key, event in zip(texts(data["product_id"]), events):
                 if key != current:
                     current, state = key, ProductState()
-                event = Event(kinds[i], now[i], at[i], product[i], price[i], warehouse[i], quantity[i])
                 outcome, other_side, d = advance(state, event, lifetimes)
+                outcomes.append(outcome)
+                sides.append(other_side)
                 if d is None:
-                    out.append((outcome, other_side, *_NO_DOCUMENT))
+                    pairs.append(_NO_PAIR)
+                    stock.append(_NO_STOCK)
+                    maps.append(None)
                 else:
-                    out.append(
-                        (outcome, other_side, *d.product, *d.price, d.total, d.stock,
-                         d.product_at, d.price_at, d.stock_at)
-                    )
-            made = zip(*out) if out else [()] * len(_ARROW_TYPES)
-            arrays = [pa.array(list(v), t) for v, t in zip(made, _ARROW_TYPES.values())]
+                    pairs.append((*d.product, *d.price, d.product_at, d.price_at))
+                    stock.append((d.total, d.stock_at))
+                    maps.append(d.stock)
+            name, category, brand, description, price, currency, product_at, price_at = (
+                zip(*pairs) if pairs else [()] * 8
+            )
+            total, stock_at = zip(*stock) if stock else [()] * 2
+            made = {
+                "outcome": pa.array(outcomes, pa.string()),
+                "other_side": pa.array(sides, pa.bool_()),
+                "name": pa.array(name, pa.string()),
+                "category": pa.array(category, pa.string()),
+                "brand": pa.array(brand, pa.string()),
+                "description": pa.array(description, pa.string()),
+                "price": pa.array(price, pa.string()).cast(pa.decimal128(38, 18)),
+                "currency": pa.array(currency, pa.string()),
+                "total_stock": pa.array(total, pa.int64()),
+                STOCK_MAP: maps.array(),
+                "last_product_update": pa.array(product_at, pa.int64()).cast(STAMP),
+                "last_price_update": pa.array(price_at, pa.int64()).cast(STAMP),
+                "last_stock_update": pa.array(stock_at, pa.int64()).cast(STAMP),
+            }
             yield pa.RecordBatch.from_arrays(
-                [data[n] for n in _PASSED] + arrays, [*_PASSED, *_ARROW_TYPES]
+                [*(data[n] for n in _PASSED), *made.values()], [*_PASSED, *made]
             )
 
     rows = layout.arrange(changes).sortWithinPartitions(*layout.group, layout.order)

@@ -123,10 +123,10 @@ def running(
 
     along = Window.partitionBy(*part).orderBy(layout.order)
     upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
-    columns = {n: aggregate[n](c).over(upto) for n, c in inputs.items() if not n.startswith("_")}
-    columns.update({new: aggregate[n](inputs[n]).over(before) for new, n in prior.items()})
-    rows = rows.withColumns(columns)
+    rows = rows.withColumns({n: aggregate[n](c).over(upto) for n, c in inputs.items()})
+    if prior:
+        rows = rows.withColumns({new: F.lag(n).over(along) for new, n in prior.items()})
+    rows = rows.drop(*(n for n in values if n.startswith("_")))
     if layout.blocked:
         rows = rows.filter(~F.col(_CARRY)).drop(_CARRY, *(f"_v_{n}" for n in values))
     return rows

@@ -7,6 +7,10 @@ before this step, are streamed through a dictionary per product in Arrow batches
 
 from __future__ import annotations
 
+import json
+from itertools import repeat
+
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,50 +18,62 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from docweave import schemas as S
+from docweave.functions.arrow import STOCK_MAP as ARROW_MAP
+from docweave.functions.arrow import changes, longs, texts
 from docweave.operators.running import _CARRY, BLOCK, Layout, checkpointed
 
 STOCK_MAP = "stock_by_warehouse"
 _MAP_TYPE = T.MapType(T.StringType(), T.IntegerType())
-_ARROW_MAP = pa.map_(pa.string(), pa.int32())
+_INPUTS = ("_warehouse", "_quantity", "_carried")
 
 
 def _stream(group: list[str]):
     """Maps sorted batches: the map of the group so far, anew for each segment.
 
-    A carry row has no warehouse but a map, which the group starts from.
+    Only rows that may change the map are visited. A carry row has no warehouse
+    but a map as JSON, which the group starts from.
     """
 
     def fold(batches):
-        current, segment, stock, entries = None, None, {}, []
+        place, stock, entries = None, {}, ()
         for batch in batches:
-            names = batch.schema.names
-            columns = [batch.column(names.index(g)).to_pylist() for g in group]
-            segments = batch.column(names.index("_segment")).to_pylist()
-            warehouses = batch.column(names.index("_warehouse")).to_pylist()
-            quantities = batch.column(names.index("_quantity")).to_pylist()
-            carried = batch.column(names.index("_carried")).to_pylist()
-            out = []
-            for i, key in enumerate(zip(*columns)):
-                if key != current or segments[i] != segment:
-                    current, segment, stock, entries = key, segments[i], {}, []
-                if carried[i] is not None:
-                    stock = dict(carried[i])
-                    entries = sorted(stock.items())
-                elif warehouses[i] is not None and stock.get(warehouses[i]) != quantities[i]:
-                    stock[warehouses[i]] = quantities[i]
-                    entries = sorted(stock.items())
-                out.append(entries)
-            keep = [i for i, n in enumerate(names) if n not in ("_warehouse", "_quantity", "_carried")]
+            data = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            located = [data[g] for g in (*group, "_segment")]
+            visit = data["_warehouse"].is_valid().to_numpy(zero_copy_only=False).copy()
+            for column in located:
+                visit |= changes(column)
+            carried = data.get("_carried")
+            if carried is not None:
+                visit |= carried.is_valid().to_numpy(zero_copy_only=False)
+            rows = np.flatnonzero(visit)
+            seen = pa.array(rows)
+            places = zip(*(c.take(seen).to_pylist() for c in located))
+            warehouses = texts(data["_warehouse"].take(seen))
+            quantities = longs(data["_quantity"].take(seen))
+            starts = repeat(None) if carried is None else texts(carried.take(seen))
+            found = []
+            for here, warehouse, quantity, start in zip(places, warehouses, quantities, starts):
+                if here != place:
+                    place, stock, entries = here, {}, ()
+                if start is not None:
+                    stock = json.loads(start)
+                    entries = tuple(sorted(stock.items()))
+                elif warehouse is not None and stock.get(warehouse) != quantity:
+                    stock[warehouse] = quantity
+                    entries = tuple(sorted(stock.items()))
+                found.append(entries)
+            repeats = np.repeat(np.arange(len(rows)), np.diff(np.append(rows, batch.num_rows)))
+            column = pa.array(found, ARROW_MAP).take(pa.array(repeats))
+            kept = [n for n in data if n not in _INPUTS]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i) for i in keep] + [pa.array(out, _ARROW_MAP)],
-                [names[i] for i in keep] + [STOCK_MAP],
+                [*(data[n] for n in kept), column], [*kept, STOCK_MAP]
             )
 
     return fold
 
 
 def _fold(rows: DataFrame, group: list[str]) -> DataFrame:
-    kept = [f for f in rows.schema.fields if f.name not in ("_warehouse", "_quantity", "_carried")]
+    kept = [f for f in rows.schema.fields if f.name not in _INPUTS]
     schema = T.StructType([*kept, T.StructField(STOCK_MAP, _MAP_TYPE)])
     return rows.mapInArrow(_stream(group), schema)
 
@@ -70,7 +86,6 @@ def attach_stock_map(rows: DataFrame, layout: Layout, segment: Column | None = N
             "_segment": (F.lit(0) if segment is None else segment).cast("bigint"),
             "_warehouse": F.when(is_stock, F.col("warehouse_id")),
             "_quantity": F.when(is_stock, F.col("quantity")),
-            "_carried": F.lit(None).cast(_MAP_TYPE),
         }
     )
     if layout.blocked:
@@ -93,7 +108,6 @@ def _carries(rows: DataFrame, layout: Layout) -> DataFrame:
         .groupBy(key, BLOCK, "_segment", "_warehouse")
         .agg(F.max(F.struct(order, "_quantity")).alias("last"))
         .select(key, BLOCK, "_segment", "_warehouse", "last.*")
-        .withColumn("_carried", F.lit(None).cast(_MAP_TYPE))
     )
     folded = _fold(last.repartition(key).sortWithinPartitions(key, order), [key])
     ends = folded.groupBy(key, BLOCK).agg(
@@ -109,7 +123,7 @@ def _carries(rows: DataFrame, layout: Layout) -> DataFrame:
             key,
             BLOCK,
             F.col("end._segment").alias("_segment"),
-            F.col(f"end.{STOCK_MAP}").alias("_carried"),
+            F.to_json(f"end.{STOCK_MAP}").alias("_carried"),
             (F.col(BLOCK) - 1).alias(order),
             F.lit(True).alias(_CARRY),
         )

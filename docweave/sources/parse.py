@@ -29,10 +29,13 @@ _JSON_OPTIONS = {
 
 
 def _decoded(df: DataFrame, value: str, schema: str) -> tuple[DataFrame, Column]:
-    """Adds ``_msg`` and gives the test for text that is no JSON object of the schema."""
-    df = df.withColumn(
-        "_msg", F.from_json(F.col(value), f"{schema}, {_CORRUPT} string", _JSON_OPTIONS)
-    )
+    """Adds ``_msg`` and gives the test for text that is no JSON object of the schema.
+
+    Exploding the one decoded value keeps later filters above the decoding; they
+    would otherwise be pushed below and decode the text once per mention.
+    """
+    decoded = F.from_json(F.col(value), f"{schema}, {_CORRUPT} string", _JSON_OPTIONS)
+    df = df.select("*", F.explode(F.array(decoded)).alias("_msg"))
     return df, F.col("_msg").isNull() | F.col(f"_msg.{_CORRUPT}").isNotNull()
 
 
