@@ -18,26 +18,34 @@ SCALARS = tuple(f for f in S.DOCUMENT.fieldNames() if f not in ("product_id", "s
 
 
 def fold_upserts(documents: DataFrame, order: list[str]) -> DataFrame:
-    """All upserts of each product folded into one, which keeps the last ``order``."""
-    version = F.struct(*order)
-    scalars = documents.groupBy("product_id").agg(
-        F.max(F.struct(version.alias("version"), F.struct(*SCALARS).alias("doc"))).alias("last")
+    """All upserts of each product folded into one, which keeps the last ``order``.
+
+    Reads its input once, so it also serves a micro-batch.
+    """
+    stock = F.map_entries("stock_by_warehouse")
+    none = F.array(F.lit(None).cast(T.StructType([
+        T.StructField("key", T.StringType()), T.StructField("value", T.IntegerType())
+    ])))
+    # one row per warehouse and, without a key, one for the scalar fields
+    pieces = documents.select(
+        "product_id",
+        F.struct(*order).alias("version"),
+        F.struct(*SCALARS).alias("doc"),
+        F.explode(F.concat(none, F.coalesce(stock, none))).alias("entry"),
     )
-    entries = (
-        documents.select("product_id", version.alias("version"), F.explode("stock_by_warehouse"))
-        .groupBy("product_id", "key")
-        .agg(F.max(F.struct("version", "value")).alias("last"))
-        .groupBy("product_id")
-        .agg(F.array_sort(F.collect_list(F.struct("key", "last.value"))).alias("entries"))
+    scalar = F.col("entry.key").isNull()
+    last = F.struct("version", "entry.value", F.when(scalar, F.col("doc")).alias("doc"))
+    newest = pieces.groupBy("product_id", F.col("entry.key").alias("key")).agg(
+        F.max(last).alias("last")
     )
-    empty = F.create_map().cast(S.DOCUMENT["stock_by_warehouse"].dataType)
-    folded = scalars.join(entries, "product_id", "left").select(
-        "product_id",
-        "last.doc.*",
-        F.coalesce(F.map_from_entries("entries"), empty).alias("stock_by_warehouse"),
-        *(F.col(f"last.version.{o}").alias(o) for o in order),
+    entry = F.when(F.col("key").isNotNull(), F.struct("key", "last.value"))
+    folded = newest.groupBy("product_id").agg(
+        F.max(F.when(F.col("key").isNull(), F.struct("last.version", "last.doc"))).alias("last"),
+        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("stock_by_warehouse"),
     )
-    return folded.select(*S.DOCUMENT.fieldNames(), *order)
+    return folded.select(
+        "product_id", "last.doc.*", "stock_by_warehouse", "last.version.*"
+    ).select(*S.DOCUMENT.fieldNames(), *order)
 
 
 #: Documents as the index types them: cents, 32-bit counts and scores.
