@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from datetime import datetime, timezone
 from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -31,6 +31,11 @@ PROCESSING, ARRIVAL = "processing", "arrival"
 
 #: ``position`` orders the rows of one product within a micro-batch.
 OUTPUT = T.StructType([*LIFECYCLE.fields, T.StructField("position", T.LongType())])
+_TIMES = [f.name for f in OUTPUT.fields if isinstance(f.dataType, T.TimestampType)]
+# times cross to Python and back as microseconds, which no time zone touches
+_RAW_OUTPUT = T.StructType(
+    [T.StructField(f.name, T.LongType()) if f.name in _TIMES else f for f in OUTPUT.fields]
+)
 
 _HEAD = T.StructType(
     [
@@ -46,24 +51,6 @@ _HEAD = T.StructType(
 _WAREHOUSE = T.StructType([T.StructField("warehouse_id", T.StringType())])
 _QUANTITY = T.StructType([T.StructField("quantity", T.IntegerType())])
 
-_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
-
-
-def _micros(at: datetime | None) -> int:
-    """Rows carry local wall-clock times; aware ones are taken as they are."""
-    if at is None:
-        return 0
-    delta = at.astimezone(timezone.utc) - _EPOCH
-    return (delta.days * 86_400 + delta.seconds) * 1_000_000 + delta.microseconds
-
-
-def _time(micros: int | None) -> datetime | None:
-    if micros is None:
-        return None
-    seconds, rest = divmod(micros, 1_000_000)
-    return datetime.fromtimestamp(seconds).replace(microsecond=rest)
-
-
 def _tuples(value: Any) -> Any:
     return tuple(_tuples(v) for v in value) if isinstance(value, list) else value
 
@@ -120,8 +107,8 @@ class Enricher(StatefulProcessor):
         price = None if row.price is None else format(row.price, "f")
         return Event(
             row.kind,
-            _micros(row.arrival_ts) if now is None else now,
-            _micros(row.updated_at),
+            row.arrival_ts if now is None else now,
+            row.updated_at,
             tuple(row[f] for f in S.PRODUCT_FIELDS),
             (price, row.currency),
             row.warehouse_id,
@@ -131,7 +118,7 @@ class Enricher(StatefulProcessor):
     def _row(self, row, now, outcome, other_side, d: Document | None, position) -> Row:
         head = {
             "seq": row.seq,
-            "arrival_ts": _time(now),
+            "arrival_ts": now,
             "product_id": row.product_id,
             "kind": row.kind,
             "outcome": outcome,
@@ -146,11 +133,11 @@ class Enricher(StatefulProcessor):
                 currency=currency,
                 total_stock=d.total,
                 stock_by_warehouse=dict(d.stock),
-                last_product_update=_time(d.product_at),
-                last_price_update=_time(d.price_at),
-                last_stock_update=_time(d.stock_at),
+                last_product_update=d.product_at,
+                last_price_update=d.price_at,
+                last_stock_update=d.stock_at,
             )
-        return Row(**{name: head.get(name) for name in OUTPUT.fieldNames()})
+        return Row(**{name: head.get(name) for name in _RAW_OUTPUT.fieldNames()})
 
     # ----------------------------------------------------------------- state
 
@@ -213,10 +200,15 @@ def enrich(
     initial: DataFrame | None = None,
 ) -> DataFrame:
     """Change rows to one row per event (``OUTPUT``); needs the RocksDB state store."""
-    return changes.groupBy("product_id").transformWithState(
+    raw = _in_micros(changes).groupBy("product_id").transformWithState(
         statefulProcessor=Enricher(lifetimes, clock),
-        outputStructType=OUTPUT,
+        outputStructType=_RAW_OUTPUT,
         outputMode="Update",
         timeMode="ProcessingTime" if clock == PROCESSING else "None",
-        initialState=None if initial is None else initial.groupBy("product_id"),
+        initialState=None if initial is None else _in_micros(initial).groupBy("product_id"),
     )
+    return raw.withColumns({t: F.timestamp_micros(t) for t in _TIMES})
+
+
+def _in_micros(changes: DataFrame) -> DataFrame:
+    return changes.withColumns({t: F.unix_micros(t) for t in ("arrival_ts", "updated_at")})
