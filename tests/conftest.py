@@ -1,10 +1,13 @@
 import os
 import sys
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import SparkSession
 
+os.environ["TZ"] = "UTC"
+time.tzset()
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
