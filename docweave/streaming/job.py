@@ -70,7 +70,13 @@ def start(
     events = with_counters(enrich(changes, lifetimes, clock, initial))
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        table.apply(lifecycle_documents(batch), batch_id)
+        # held, so the stateful plan runs once although the rows are read twice
+        documents = lifecycle_documents(batch).persist()
+        try:
+            if documents.count():  # timers also make batches without input
+                table.apply(documents, batch_id)
+        finally:
+            documents.unpersist()
 
     return (
         events.writeStream.outputMode("update")
