@@ -120,7 +120,7 @@ idx AS (
   SELECT * FROM sent
   QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY seq DESC) = 1)"""
 
-_PAIR = "name, price, currency, last_product_update, last_price_update"
+_PAIR = "name, CAST(price AS DOUBLE) AS price, currency, last_product_update, last_price_update"
 _DOC = f"{_PAIR}, total_stock, last_stock_update, completeness"
 
 
@@ -392,7 +392,8 @@ gauge AS (
       - epoch_us(GREATEST(last_price_update, last_stock_update))) // 1000) AS latency_ms
   FROM sent WHERE last_price_update IS NOT NULL OR last_stock_update IS NOT NULL)"""
 _READ = (
-    "product_id, name, price, total_stock, completeness, arrival_ts AS indexed_at,"
+    "product_id, name, CAST(price AS DOUBLE) AS price, total_stock, completeness,"
+    " arrival_ts AS indexed_at,"
     " last_product_update, last_price_update, last_stock_update"
 )
 
@@ -419,7 +420,7 @@ ORACLES: dict[str, str] = {
     ),
     "price_parse": _sql(
         _MESSAGE_EVENTS, _PRICE_TEXTS, _PRICE_PARSED,
-        select="SELECT seq, product_id, price, currency, updated_at"
+        select="SELECT seq, product_id, CAST(price AS DOUBLE) AS price, currency, updated_at"
                " FROM prices WHERE reject_reason IS NULL",
     ),
     "stock_parse": _sql(
@@ -471,8 +472,8 @@ FROM jn WHERE accepted QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER
         " hit FROM jn WHERE accepted AND kind IN ('P', 'R')"
     ),
     "product_price_latest": _joined("""
-SELECT product_id, product.name AS name, offer.price AS price, offer.currency AS currency,
-  product.at AS last_product_update, offer.at AS last_price_update
+SELECT product_id, product.name AS name, CAST(offer.price AS DOUBLE) AS price,
+  offer.currency AS currency, product.at AS last_product_update, offer.at AS last_price_update
 FROM (SELECT * FROM jn WHERE kind <> 'S'
       QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY seq DESC) = 1)
 WHERE product IS NOT NULL OR offer IS NOT NULL"""),
@@ -554,7 +555,7 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY seq DESC) = 1""",
         pair=True, stock=True, sent=True,
     ),
     "index_typed": _indexed(
-        "SELECT product_id, name, price, currency, CAST(total_stock AS INTEGER) AS total_stock,"
+        "SELECT product_id, name, CAST(price AS DOUBLE) AS price, currency, CAST(total_stock AS INTEGER) AS total_stock,"
         " ROUND(CAST(CAST(completeness AS FLOAT) AS DOUBLE), 6) AS completeness,"
         " arrival_ts AS indexed_at FROM idx"
     ),

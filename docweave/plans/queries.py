@@ -49,14 +49,14 @@ def query(make: Query) -> Query:
 
 
 def _comparable(df: DataFrame) -> DataFrame:
-    """Zone-less times, cents, rounded thirds, and the stock map as text."""
+    """Zone-less times, prices as doubles, rounded thirds, and the stock map as text."""
     shown: list[Column] = []
     for f in df.schema.fields:
         column = F.col(f.name)
         if isinstance(f.dataType, T.TimestampType):
             column = column.cast("timestamp_ntz")
         elif f.name == "price":
-            column = column.cast("decimal(18,2)")
+            column = column.cast("decimal(18,2)").cast("double")
         elif f.name == "completeness":
             column = F.round(column.cast("double"), 6)
         elif isinstance(f.dataType, T.MapType):

@@ -28,14 +28,18 @@ _JSON_OPTIONS = {
 }
 
 
-def _decoded(df: DataFrame, value: str, schema: str) -> tuple[DataFrame, Column]:
-    """Adds ``_msg`` and gives the test for text that is no JSON object of the schema.
+def _once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Adds a column that later filters cannot be pushed below.
 
-    Exploding the one decoded value keeps later filters above the decoding; they
-    would otherwise be pushed below and decode the text once per mention.
+    They would take the expression along and evaluate it once per mention.
     """
+    return df.select("*", F.explode(F.array(column)).alias(name))
+
+
+def _decoded(df: DataFrame, value: str, schema: str) -> tuple[DataFrame, Column]:
+    """Adds ``_msg`` and gives the test for text that is no JSON object of the schema."""
     decoded = F.from_json(F.col(value), f"{schema}, {_CORRUPT} string", _JSON_OPTIONS)
-    df = df.select("*", F.explode(F.array(decoded)).alias("_msg"))
+    df = _once(df, "_msg", decoded)
     return df, F.col("_msg").isNull() | F.col(f"_msg.{_CORRUPT}").isNotNull()
 
 
@@ -64,7 +68,7 @@ def parse_catalogue(
     now_ms = F.unix_millis(F.col(clock))
     stamp = epoch_ms(F.col("_row.updated_at"))
     iso = instant(F.col("_row.updated_at")) if parse_iso else F.lit(None).cast("timestamp")
-    df = df.withColumns({"_ms": stamp, "_iso": iso})
+    df = _once(df, "_ms", stamp).withColumn("_iso", iso)
     ahead = (F.col("_ms") > now_ms + 60_000) | is_future(F.col("_iso"), F.col(clock))
     no_row = F.col("operation").isNull() | is_blank(F.col("operation")) | F.col("_row").isNull()
     no_key = F.col("_row.product_id").isNull() | is_blank(F.col("_row.product_id"))
@@ -93,7 +97,7 @@ def parse_catalogue(
 def parse_products(df: DataFrame, value: str = "value") -> DataFrame:
     """Plain product messages: only required fields are checked."""
     df, malformed = _decoded(df, value, S.PRODUCT_MESSAGE)
-    df = df.withColumn("updated_at", instant(F.col("_msg.updatedAt")))
+    df = _once(df, "updated_at", instant(F.col("_msg.updatedAt")))
     required = [F.col(f"_msg.{f}") for f in ("productId", "name", "updatedAt", "operation")]
     bad_time = F.col("_msg.updatedAt").isNotNull() & F.col("updated_at").isNull()
     return df.withColumns(
@@ -113,7 +117,7 @@ def parse_products(df: DataFrame, value: str = "value") -> DataFrame:
 
 def parse_prices(df: DataFrame, value: str = "value", clock: str = "arrival_ts") -> DataFrame:
     df, malformed = _decoded(df, value, S.PRICE_MESSAGE)
-    df = df.withColumn("updated_at", instant(F.col("_msg.updatedAt")))
+    df = _once(df, "updated_at", instant(F.col("_msg.updatedAt")))
     required = [F.col(f"_msg.{f}") for f in ("productId", "price", "currency", "updatedAt")]
     bad_time = F.col("_msg.updatedAt").isNotNull() & F.col("updated_at").isNull()
     return df.withColumns(
@@ -134,7 +138,7 @@ def parse_prices(df: DataFrame, value: str = "value", clock: str = "arrival_ts")
 def parse_stock(df: DataFrame, value: str = "value", clock: str = "arrival_ts") -> DataFrame:
     """A missing or fractional quantity is rejected, not read as a number."""
     df, malformed = _decoded(df, value, S.STOCK_MESSAGE)
-    df = df.withColumn("updated_at", instant(F.col("_msg.updatedAt")))
+    df = _once(df, "updated_at", instant(F.col("_msg.updatedAt")))
     required = [F.col(f"_msg.{f}") for f in ("productId", "warehouseId", "quantity", "updatedAt")]
     bad_time = F.col("_msg.updatedAt").isNotNull() & F.col("updated_at").isNull()
     return df.withColumns(
