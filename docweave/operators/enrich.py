@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from docweave import schemas as S
 from docweave.functions.columns import completeness, whole_ms
-from docweave.operators.running import Layout, running
+from docweave.operators.running import MAX_ROWS_PER_KEY, Layout, by_history_length, running
 
 
 def _is(kind: str) -> Column:
@@ -39,10 +39,10 @@ def _versioned(kind: str, fields: tuple[str, ...]) -> Column:
     )
 
 
-def _latest_of_each_kind() -> dict[str, Column]:
+def _latest_of_each_kind(payload: bool = True) -> dict[str, Column]:
     return {
-        "last_product": _versioned(S.UPSERT, S.PRODUCT_FIELDS),
-        "last_price": _versioned(S.PRICE, S.PRICE_FIELDS),
+        "last_product": _versioned(S.UPSERT, S.PRODUCT_FIELDS if payload else ()),
+        "last_price": _versioned(S.PRICE, S.PRICE_FIELDS if payload else ()),
     }
 
 
@@ -94,6 +94,32 @@ def pair_history(
     return rows.withColumns(_pair("last_product", "last_price")).drop("last_product", "last_price")
 
 
+def judged_history(changes: DataFrame, layout: Layout) -> DataFrame:
+    """Product and price rows with acceptance and join hit only.
+
+    Neither reads nor exchanges the fields that only documents need.
+    """
+    rows = with_epochs(layout.arrange(changes.filter(~_is(S.STOCK))), layout)
+    rows = _judge(running(rows, layout, maxes=_latest_of_each_kind(payload=False)))
+    return rows.select(
+        "seq", "arrival_ts", "product_id", "kind", "updated_at", "epoch", "accepted", "other_side", *layout.group[1:]
+    )
+
+
+def counted_events(changes: DataFrame, max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
+    """Events the stage counters count: accepted products and prices, all stock.
+
+    Stock is always accepted, so its rows need no exchange.
+    """
+    judged = by_history_length(changes.filter(~_is(S.STOCK)), judged_history, max_rows=max_rows)
+    columns = ["seq", "arrival_ts", "product_id", "kind"]
+    return (
+        judged.filter("accepted")
+        .select(*columns, "other_side")
+        .unionByName(changes.filter(_is(S.STOCK)).select(*columns), allowMissingColumns=True)
+    )
+
+
 def stock_history(changes: DataFrame, layout: Layout) -> DataFrame:
     """Stock rows with the quantity replaced, the running total and latest time."""
     rows = layout.arrange(changes.filter(_is(S.STOCK)))

@@ -1,7 +1,7 @@
 """Counters, rates, join completeness and latencies.
 
-Input is a document history (one row per event) or the documents themselves, in
-batch; all are plain aggregates with partial aggregation before the exchange.
+Input is the counted events, a document history (one row per event) or documents;
+all are plain aggregates with partial aggregation before the exchange.
 """
 
 from __future__ import annotations
@@ -28,20 +28,17 @@ def stream_name() -> Column:
     return name
 
 
-def counted(history: DataFrame) -> DataFrame:
-    """Events the stage counters count: accepted products and prices, all stock."""
-    return history.filter("accepted").withColumn("stream", stream_name())
+def event_counts(counted: DataFrame) -> DataFrame:
+    return counted.groupBy(stream_name().alias("stream")).agg(F.count(F.lit(1)).alias("events"))
 
 
-def event_counts(history: DataFrame) -> DataFrame:
-    return counted(history).groupBy("stream").agg(F.count(F.lit(1)).alias("events"))
-
-
-def rates(events: DataFrame, by: list[str], slide: str | None = None) -> DataFrame:
+def rates(events: DataFrame, by_stream: bool = False, slide: str | None = None) -> DataFrame:
     """Events per second in one-minute windows of the arrival clock."""
-    window = F.window("arrival_ts", "1 minute", slide) if slide else F.window("arrival_ts", "1 minute")
+    window = F.window("arrival_ts", "1 minute", slide)
+    by = ["stream"] if by_stream else []
     return (
-        events.groupBy(window.alias("w"), *by)
+        events.withColumn("stream", stream_name())
+        .groupBy(window.alias("w"), *by)
         .agg(F.count(F.lit(1)).alias("events"))
         .select(
             F.col("w.start").alias("minute"),
@@ -52,10 +49,9 @@ def rates(events: DataFrame, by: list[str], slide: str | None = None) -> DataFra
     )
 
 
-def join_completeness(history: DataFrame) -> DataFrame:
+def join_completeness(counted: DataFrame) -> DataFrame:
     """Share of accepted product and price events that met the other side."""
-    met = history.filter(F.col("accepted") & F.col("other_side").isNotNull())
-    totals = met.agg(
+    totals = counted.agg(
         F.count_if("other_side").alias("hits"), F.count_if(~F.col("other_side")).alias("misses")
     )
     ratio = F.col("hits") / F.nullif(F.col("hits") + F.col("misses"), F.lit(0))
@@ -69,8 +65,8 @@ def join_completeness(history: DataFrame) -> DataFrame:
 
 def dedup_stats(history: DataFrame) -> DataFrame:
     return (
-        counted(history)
-        .groupBy("stream")
+        history.filter("accepted")
+        .groupBy(stream_name().alias("stream"))
         .agg(
             F.count_if("unchanged").alias("suppressed"),
             F.count_if(~F.col("unchanged")).alias("emitted"),

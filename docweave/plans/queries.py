@@ -13,9 +13,11 @@ from docweave.functions.columns import completeness, is_future, stock_text
 from docweave.functions.lifecycle import EMITTED, SUPPRESSED, Lifetimes
 from docweave.operators import index, reports, snapshot
 from docweave.operators.enrich import (
+    counted_events,
     document_history,
     documents,
     emitted,
+    judged_history,
     pair_history,
     stock_history,
 )
@@ -82,6 +84,15 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_history_length(rows, pair_history)
 
 
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = change_events(spark, sf_dir).filter(F.col("kind") != S.STOCK)
+    return by_history_length(rows, judged_history)
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counted_events(change_events(spark, sf_dir))
+
+
 def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.fold_upserts(emitted(_history_with_map(spark, sf_dir)), ["seq"]).drop("seq")
 
@@ -165,13 +176,13 @@ def snapshot_bootstrap(spark, sf_dir):
 
 @query
 def stale_filter(spark, sf_dir):
-    rows = _pairs(spark, sf_dir).filter(F.col("kind") != S.DELETE)
+    rows = _judged(spark, sf_dir).filter(F.col("kind") != S.DELETE)
     return rows.select("seq", "product_id", "kind", "updated_at", "accepted")
 
 
 @query
 def delete_epochs(spark, sf_dir):
-    return _pairs(spark, sf_dir).select("seq", "product_id", "kind", "epoch", "accepted")
+    return _judged(spark, sf_dir).select("seq", "product_id", "kind", "epoch", "accepted")
 
 
 @query
@@ -202,7 +213,7 @@ def enriched_latest(spark, sf_dir):
 
 @query
 def join_completeness(spark, sf_dir):
-    return reports.join_completeness(_pairs(spark, sf_dir))
+    return reports.join_completeness(_counted(spark, sf_dir))
 
 
 # --------------------------------------------------------------------- stock
@@ -356,27 +367,27 @@ def doc_sample(spark, sf_dir):
 
 @query
 def event_counts(spark, sf_dir):
-    return reports.event_counts(_history(spark, sf_dir))
+    return reports.event_counts(_counted(spark, sf_dir))
 
 
 @query
 def events_rate(spark, sf_dir):
-    return reports.rates(reports.counted(_history(spark, sf_dir)), ["stream"])
+    return reports.rates(_counted(spark, sf_dir), by_stream=True)
 
 
 @query
 def events_rate_total(spark, sf_dir):
-    return reports.rates(reports.counted(_history(spark, sf_dir)), [])
+    return reports.rates(_counted(spark, sf_dir))
 
 
 @query
 def events_rate_sliding(spark, sf_dir):
-    return reports.rates(reports.counted(_history(spark, sf_dir)), ["stream"], "10 seconds")
+    return reports.rates(_counted(spark, sf_dir), by_stream=True, slide="10 seconds")
 
 
 @query
 def dedup_rate(spark, sf_dir):
-    return reports.rates(_history(spark, sf_dir).filter("unchanged"), [])
+    return reports.rates(_history(spark, sf_dir).filter("unchanged"))
 
 
 @query

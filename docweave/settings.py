@@ -19,7 +19,7 @@ DEFAULTS: dict[str, str] = {
     "kafka.topic.prices": "prices",
     "kafka.topic.stock": "stock",
     "kafka.topic.dlq": "dlq",
-    "kafka.group.id": "rt-index-pipeline",
+    "kafka.group.id": "docweave",
     "es.host": "localhost",
     "es.port": "9200",
     "es.index.name": "products",

@@ -62,18 +62,19 @@ def kafka_stream(
     settings: Settings,
     topic_setting: str,
     starting: str = "latest",
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int = 5_000_000,
 ) -> DataFrame:
     """A topic as ``value``, ``seq`` and ``arrival_ts``; needs the Kafka package.
 
     Messages are keyed by product, so one product's rows share a partition and
-    their offsets give its arrival order within the topic.
+    their offsets give its arrival order within the topic. The limit per batch
+    bounds what a batch may hold for any one product.
     """
-    reader = spark.readStream.format("kafka").options(
-        **settings.kafka_options(topic_setting, starting)
+    reader = (
+        spark.readStream.format("kafka")
+        .options(**settings.kafka_options(topic_setting, starting))
+        .option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     )
-    if max_offsets_per_trigger is not None:
-        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return reader.load().select(
         F.col("value").cast("string").alias("value"),
         F.col("offset").alias("seq"),

@@ -30,6 +30,20 @@ def parsed_changes(
     )
 
 
+def start_quarantine(parsed: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Keeps rejected messages of one parsed stream, in a folder per reason."""
+    return (
+        parse.rejected(parsed)
+        .writeStream.outputMode("append")
+        .format("parquet")
+        .partitionBy("reject_reason")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def kafka_changes(spark: SparkSession, settings: Settings, catalogue: DataFrame) -> DataFrame:
     """Production sources: the given envelope stream and the two topics, from the latest."""
     return parsed_changes(

@@ -14,7 +14,7 @@ from docweave import schemas as S
 from docweave.functions.columns import stock_text
 from docweave.functions.lifecycle import Lifetimes
 from docweave.operators import reports
-from docweave.operators.enrich import document_history, pair_history
+from docweave.operators.enrich import counted_events, document_history
 from docweave.operators.expiry import lifecycle
 from docweave.operators.running import by_history_length, long_keys
 from docweave.operators.snapshot import latest_documents
@@ -150,15 +150,16 @@ def test_unlike_lifetimes_agree(spark):
 def test_reports_do_not_depend_on_blocks(spark):
     changes = frame(spark, make_rows(4, 900, False))
 
-    def rows(compute, report, max_rows):
-        return sorted(map(str, report(by_history_length(changes, compute, max_rows=max_rows)).collect()))
+    def both(made):
+        return [sorted(map(str, made(n).collect())) for n in (20, 10_000)]
 
-    for compute, report in (
-        (document_history, reports.event_counts),
-        (document_history, reports.dedup_stats),
-        (pair_history, reports.join_completeness),
-    ):
-        assert rows(compute, report, 20) == rows(compute, report, 10_000)
+    for report in (reports.event_counts, reports.join_completeness, reports.rates):
+        cut, whole = both(lambda n: report(counted_events(changes, n)))
+        assert cut == whole
+    cut, whole = both(
+        lambda n: reports.dedup_stats(by_history_length(changes, document_history, max_rows=n))
+    )
+    assert cut == whole
 
 
 def test_latest_documents_do_not_depend_on_blocks(spark):

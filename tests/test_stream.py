@@ -13,9 +13,10 @@ from docweave.operators import index
 from docweave.operators.expiry import lifecycle, lifecycle_documents
 from docweave.plans.event_fixture import change_events
 from docweave.settings import DEFAULTS, load_settings
+from docweave.sources import parse
 from docweave.streaming import progress
 from docweave.streaming.index_table import IndexTable
-from docweave.streaming.job import parsed_changes, start
+from docweave.streaming.job import parsed_changes, start, start_quarantine
 from docweave.streaming.processor import ARRIVAL
 
 NOW = datetime(2024, 5, 1)
@@ -152,6 +153,15 @@ def test_timers_of_the_real_clock(spark, tmp_path):
     assert names == {"idle": None, "busy": "name 4"}
 
 
+def test_quarantine(spark, tmp_path):
+    write(spark, tmp_path / "in", [(0, NOW, "{{x"), (1, NOW, "{}"), (2, NOW, "")], MESSAGES)
+    parsed = parse.parse_prices(read(spark, tmp_path / "in", MESSAGES))
+    out = str(tmp_path / "rejects")
+    run(start_quarantine(parsed, out, str(tmp_path / "cp"), {"availableNow": True}))
+    found = {(r.value, r.reject_reason) for r in spark.read.parquet(out).collect()}
+    assert found == {("{{x", "malformed"), ("", "malformed"), ("{}", "missing_field")}
+
+
 def test_initial_rows_seed_the_state(spark, tmp_path):
     table_rows = [change(-1, "P", "p1", name="From the table", updated_at=NOW)]
     initial = spark.createDataFrame(table_rows, S.CHANGE)
