@@ -42,6 +42,7 @@ from docweave.operators.running import (
     by_history_length,
     checkpointed,
     running,
+    stored,
 )
 from docweave.operators.stock_map import STOCK_MAP, attach_stock_map
 
@@ -238,6 +239,7 @@ def _mark_expired(
 
 
 _CHANNELS = (0, 1)
+_DAY = 86_400_000_000
 _PARTS = "product_id string, slot bigint, _block bigint"
 
 
@@ -252,16 +254,17 @@ def expired_rows(rows: DataFrame, layout: Layout, lifetime: int) -> DataFrame:
     timer set there can fall due: only the one carried in can, and only once.
     Most blocks therefore follow from their summaries alone. Where the carried
     timer falls due in the middle of a block, the rows on both sides of it are
-    reduced in a further round, for one block per key and round.
+    reduced in a further round, for one block per key and round. The rows are
+    stored by day, so a round reads the days of its blocks only.
     """
     key, order = layout.key, layout.order
     part = [key, "slot", BLOCK]
     rows = rows.withColumn("slot", F.col("now") - F.pmod(F.col("now"), F.lit(lifetime)))
     along = Window.partitionBy(*part).orderBy(order)
     upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = checkpointed(
-        rows.withColumn("clears", F.sum(F.when(F.col("version").isNull(), 1).otherwise(0)).over(upto))
-    )
+    clears = F.sum(F.when(F.col("version").isNull(), 1).otherwise(0)).over(upto)
+    day = F.col("now") - F.pmod(F.col("now"), F.lit(_DAY))
+    rows = stored(rows.withColumns({"clears": clears, "day": day}), "day")
     summaries = checkpointed(rows.groupBy(*part).agg(*_summary(order)))
     answers = None
     while True:
@@ -272,9 +275,11 @@ def expired_rows(rows: DataFrame, layout: Layout, lifetime: int) -> DataFrame:
             )
         )
         pending = chained.filter(F.col("due").isNotNull())
-        if pending.isEmpty():
+        slots = [r.slot for r in pending.select("slot").distinct().collect()]
+        if not slots:
             return chained.select(F.col("product_id").alias(key), F.col("row").alias(order))
-        found = checkpointed(_look_inside(rows, pending, order, part))
+        days = {d for slot in slots for d in range(slot - slot % _DAY, slot + lifetime, _DAY)}
+        found = checkpointed(_look_inside(rows.filter(F.col("day").isin(days)), pending, order, part))
         answers = found if answers is None else checkpointed(answers.unionByName(found))
 
 
