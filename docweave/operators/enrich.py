@@ -111,7 +111,7 @@ def counted_events(changes: DataFrame, max_rows: int = MAX_ROWS_PER_KEY) -> Data
 
     Stock is always accepted, so its rows need no exchange.
     """
-    judged = by_history_length(changes.filter(~_is(S.STOCK)), judged_history, max_rows=max_rows)
+    judged = by_history_length(changes, judged_history, max_rows=max_rows)
     columns = ["seq", "arrival_ts", "product_id", "kind"]
     return (
         judged.filter("accepted")

@@ -73,7 +73,11 @@ def by_history_length(
     max_rows: int = MAX_ROWS_PER_KEY,
     compute_long: Callable[[DataFrame, Layout], DataFrame] | None = None,
 ) -> DataFrame:
-    """``compute`` on whole histories, and on blocks of those that are too long."""
+    """``compute`` on whole histories, and on blocks of those that are too long.
+
+    Give it all rows and let ``compute`` filter: an unfiltered count of a columnar
+    table reads no data.
+    """
     keys = long_keys(df, key, max_rows)
     if not keys:
         return compute(df, Layout(key))

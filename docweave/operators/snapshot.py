@@ -44,8 +44,7 @@ def stock_totals(changes: DataFrame) -> DataFrame:
 
 def latest_pairs(changes: DataFrame, max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
     """The pair last handed to the second join, per product; survives a delete."""
-    rows = changes.filter(F.col("kind") != S.STOCK)
-    history = by_history_length(rows, pair_history, max_rows=max_rows)
+    history = by_history_length(changes, pair_history, max_rows=max_rows)
     return (
         history.filter("accepted")
         .groupBy("product_id")
@@ -56,8 +55,7 @@ def latest_pairs(changes: DataFrame, max_rows: int = MAX_ROWS_PER_KEY) -> DataFr
 
 def product_price_state(changes: DataFrame, max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame:
     """The first join's state after all events: nothing from before the last delete."""
-    rows = changes.filter(F.col("kind") != S.STOCK)
-    history = by_history_length(rows, pair_history, max_rows=max_rows)
+    history = by_history_length(changes, pair_history, max_rows=max_rows)
     # an epoch without an accepted row has no state; one with has its pair
     last = F.max(F.struct("epoch", "accepted", "seq", *PAIR_FIELDS)).alias("last")
     return (

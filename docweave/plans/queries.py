@@ -80,13 +80,11 @@ def _mapped_history(changes: DataFrame, layout: Layout) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = change_events(spark, sf_dir).filter(F.col("kind") != S.STOCK)
-    return by_history_length(rows, pair_history)
+    return by_history_length(change_events(spark, sf_dir), pair_history)
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = change_events(spark, sf_dir).filter(F.col("kind") != S.STOCK)
-    return by_history_length(rows, judged_history)
+    return by_history_length(change_events(spark, sf_dir), judged_history)
 
 
 def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,8 +239,8 @@ def stock_totals(spark, sf_dir):
 
 @query
 def stock_running(spark, sf_dir):
-    rows = change_events(spark, sf_dir).filter(F.col("kind") == S.STOCK)
-    return by_history_length(rows, stock_history).select(
+    rows = by_history_length(change_events(spark, sf_dir), stock_history)
+    return rows.select(
         "seq", "product_id", "warehouse_id", "quantity", "replaced", "total_stock", "last_stock_update"
     )
 
