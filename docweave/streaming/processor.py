@@ -42,15 +42,13 @@ _HEAD = T.StructType(
         T.StructField("pair", T.StringType()),
         T.StructField("pair_due", T.LongType()),
         T.StructField("handed", T.StringType()),
+        T.StructField("stock", T.StringType()),
         T.StructField("stock_at", T.LongType()),
         T.StructField("stock_due", T.LongType()),
         T.StructField("sent", T.StringType()),
         T.StructField("sent_due", T.LongType()),
     ]
 )
-_WAREHOUSE = T.StructType([T.StructField("warehouse_id", T.StringType())])
-_QUANTITY = T.StructType([T.StructField("quantity", T.IntegerType())])
-
 def _tuples(value: Any) -> Any:
     return tuple(_tuples(v) for v in value) if isinstance(value, list) else value
 
@@ -68,30 +66,29 @@ class Enricher(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._head = handle.getValueState("head", _HEAD)
-        self._stock = handle.getMapState("stock", _WAREHOUSE, _QUANTITY)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        state, stored = self._load()
+        state = self._load()
         now = self._now(timerValues)
         out = []
         for position, row in enumerate(sorted(rows, key=lambda r: r.seq)):
             event = self._event(row, now)
             outcome, other_side, document = advance(state, event, self._lifetimes)
             out.append(self._row(row, event.now, outcome, other_side, document, position))
-        self._save(state, stored)
+        self._save(state)
         return iter(out)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        state, stored = self._load()
+        state = self._load()
         state.expire(expiredTimerInfo.getExpiryTimeInMs() * 1000)
-        self._save(state, stored)
+        self._save(state)
         return iter(())
 
     def handleInitialState(self, key: Any, initialState: Any, timerValues: Any) -> None:
         """Rows of the catalogue table known before the first batch; emits nothing."""
-        state, stored = self._load()
+        state = self._load()
         advance(state, self._event(initialState, self._now(timerValues)), self._lifetimes)
-        self._save(state, stored)
+        self._save(state)
 
     def close(self) -> None:
         pass
@@ -141,22 +138,23 @@ class Enricher(StatefulProcessor):
 
     # ----------------------------------------------------------------- state
 
-    def _load(self) -> tuple[ProductState, dict]:
+    def _load(self) -> ProductState:
+        """One read per product and batch; the stock map is small beside the sent document."""
         state = ProductState()
-        head = self._head.get() if self._head.exists() else None
+        head = self._head.get()
         if head is not None:
-            pair, state.pair_due, handed, state.stock_at, state.stock_due, sent, state.sent_due = head
+            pair, state.pair_due, handed, stock, state.stock_at, state.stock_due, sent, state.sent_due = head
             if pair is not None:
                 state.product, state.product_at, state.price, state.price_at = _tuples(json.loads(pair))
             if handed is not None:
                 state.handed = _tuples(json.loads(handed))
+            if stock is not None:
+                state.stock = json.loads(stock)
             if sent is not None:
                 state.sent = Document(*_tuples(json.loads(sent)))
-        stored = {w[0]: q[0] for w, q in self._stock.iterator()}
-        state.stock = dict(stored)
-        return state, stored
+        return state
 
-    def _save(self, state: ProductState, stored: dict) -> None:
+    def _save(self, state: ProductState) -> None:
         pair = (state.product, state.product_at, state.price, state.price_at)
         has_pair = state.product_at is not None or state.price_at is not None
         has_handed = state.handed[1] is not None or state.handed[3] is not None
@@ -168,17 +166,13 @@ class Enricher(StatefulProcessor):
                     json.dumps(pair) if has_pair else None,
                     state.pair_due,
                     json.dumps(state.handed) if has_handed else None,
+                    json.dumps(state.stock) if state.stock else None,
                     state.stock_at,
                     state.stock_due,
                     None if state.sent is None else json.dumps(state.sent),
                     state.sent_due,
                 )
             )
-        for warehouse in stored.keys() - state.stock.keys():
-            self._stock.removeKey((warehouse,))
-        for warehouse, quantity in state.stock.items():
-            if stored.get(warehouse) != quantity:
-                self._stock.updateValue((warehouse,), (quantity,))
         if self._clock == PROCESSING:
             self._set_timers(state)
 
