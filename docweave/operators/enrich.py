@@ -70,16 +70,23 @@ def _judge(rows: DataFrame) -> DataFrame:
     )
 
 
-def _pair(product: str, price: str) -> dict[str, Column]:
-    """Product and price of the last epoch that has either."""
-    epoch = F.greatest(F.col(f"{product}.epoch"), F.col(f"{price}.epoch"))
-    with_product = F.col(f"{product}.epoch") == epoch
-    with_price = F.col(f"{price}.epoch") == epoch
-    fields = {f: F.when(with_product, F.col(f"{product}.{f}")) for f in S.PRODUCT_FIELDS}
-    fields["last_product_update"] = F.when(with_product, F.col(f"{product}.at"))
-    fields.update({f: F.when(with_price, F.col(f"{price}.{f}")) for f in S.PRICE_FIELDS})
-    fields["last_price_update"] = F.when(with_price, F.col(f"{price}.at"))
-    return fields
+def _pair(product: str, price: str) -> dict[str, str]:
+    """Product and price of the last epoch that has either, as SQL."""
+
+    def of(side: str, field: str) -> str:
+        last = f"greatest({product}.epoch, {price}.epoch)"
+        return f"CASE WHEN {side}.epoch = {last} THEN {side}.{field} END"
+
+    return {
+        **{f: of(product, f) for f in S.PRODUCT_FIELDS},
+        "last_product_update": of(product, "at"),
+        **{f: of(price, f) for f in S.PRICE_FIELDS},
+        "last_price_update": of(price, "at"),
+    }
+
+
+def _as_columns(fields: dict[str, str]) -> dict[str, Column]:
+    return {name: F.expr(text) for name, text in fields.items()}
 
 
 PAIR_FIELDS = (*S.PRODUCT_FIELDS, "last_product_update", *S.PRICE_FIELDS, "last_price_update")
@@ -91,7 +98,7 @@ def pair_history(
     """First join: product and price rows with acceptance and the pair after each."""
     rows = with_epochs(layout.arrange(changes.filter(~_is(S.STOCK))), layout, extra_reset)
     rows = _judge(running(rows, layout, maxes=_latest_of_each_kind()))
-    return rows.withColumns(_pair("last_product", "last_price")).drop("last_product", "last_price")
+    return rows.withColumns(_as_columns(_pair("last_product", "last_price"))).drop("last_product", "last_price")
 
 
 def judged_history(changes: DataFrame, layout: Layout) -> DataFrame:
@@ -175,9 +182,7 @@ def document_history(changes: DataFrame, layout: Layout) -> DataFrame:
     rows = _judge(rows)
     after = _pair("last_product", "last_price")
     before = _pair("_prior_product", "_prior_price")
-    same_pair = F.struct(*(after[f].alias(f) for f in PAIR_FIELDS)).eqNullSafe(
-        F.struct(*(before[f].alias(f) for f in PAIR_FIELDS))
-    )
+    same_pair = F.expr(f"struct({', '.join(after.values())}) <=> struct({', '.join(before.values())})")
     same_stock = F.col("replaced").eqNullSafe(F.col("quantity")) & F.col(
         "last_stock_update"
     ).eqNullSafe(F.col("_prior_stock_update"))
@@ -185,7 +190,7 @@ def document_history(changes: DataFrame, layout: Layout) -> DataFrame:
         "unchanged",
         F.col("accepted") & F.when(_is(S.STOCK), same_stock).otherwise(same_pair),
     )
-    return rows.withColumns(after).drop(
+    return rows.withColumns(_as_columns(after)).drop(
         "last_product", "last_price", "_prior_product", "_prior_price", "_prior_stock_update"
     )
 

@@ -7,45 +7,44 @@ lags it by ``k`` hours, which makes events arrive out of order.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from docweave import schemas as S
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
 
 
 def change_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.col("event_id").alias("seq"),
-        F.col("ts").cast("timestamp").alias("arrival_ts"),
-        F.concat(F.lit("product-"), F.col("user_id").cast("string")).alias("product_id"),
-        "event_type",
-        "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-    )
-    k = F.col("k")
-    kind = (
-        F.when(F.col("event_type") == "signup", S.UPSERT)
-        .when((F.col("event_type") == "error") & (k < 5), S.DELETE)
-        .when(F.col("event_type") == "error", S.UPSERT)
-        .when(F.col("event_type") == "purchase", S.PRICE)
-        .otherwise(S.STOCK)
-    )
-    events = events.withColumn("kind", kind)
-    product, price, stock = (F.col("kind") == x for x in (S.UPSERT, S.PRICE, S.STOCK))
-    none = F.lit(None).cast("string")
-    currency = F.element_at(F.array(F.lit("USD"), F.lit("EUR"), F.lit("GBP")), k % 3 + 1)
-    third = F.call_function("div", k, F.lit(3)) % 3
-    return events.select(
-        "seq",
-        "arrival_ts",
-        "product_id",
-        "kind",
-        (F.col("arrival_ts") - F.make_dt_interval(hours=k)).alias("updated_at"),
-        F.when(product, F.concat(F.lit("Product "), k.cast("string"))).alias("name"),
-        none.alias("category"),
-        none.alias("brand"),
-        none.alias("description"),
-        F.when(price, F.col("value").cast("decimal(18,2)")).cast(S.MONEY).alias("price"),
-        F.when(price, currency).alias("currency"),
-        F.when(stock, F.concat(F.lit("warehouse-"), (k % 3).cast("string"))).alias("warehouse_id"),
-        F.when(stock, third.cast("int")).alias("quantity"),
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    return (
+        events.selectExpr(
+            "event_id AS seq",
+            "CAST(ts AS timestamp) AS arrival_ts",
+            "concat('product-', user_id) AS product_id",
+            "event_type",
+            "value",
+            "CAST(get_json_object(props, '$.k') AS int) AS k",
+        )
+        .selectExpr(
+            "*",
+            """CASE WHEN event_type = 'signup' THEN 'P'
+                    WHEN event_type = 'error' AND k < 5 THEN 'D'
+                    WHEN event_type = 'error' THEN 'P'
+                    WHEN event_type = 'purchase' THEN 'R'
+                    ELSE 'S' END AS kind""",
+        )
+        .selectExpr(
+            "seq",
+            "arrival_ts",
+            "product_id",
+            "kind",
+            "arrival_ts - make_dt_interval(0, k) AS updated_at",
+            "CASE WHEN kind = 'P' THEN concat('Product ', k) END AS name",
+            "CAST(NULL AS string) AS category",
+            "CAST(NULL AS string) AS brand",
+            "CAST(NULL AS string) AS description",
+            "CASE WHEN kind = 'R' THEN CAST(CAST(value AS decimal(18,2)) AS decimal(38,18)) END AS price",
+            "CASE WHEN kind = 'R' THEN element_at(array('USD', 'EUR', 'GBP'), k % 3 + 1) END AS currency",
+            "CASE WHEN kind = 'S' THEN concat('warehouse-', k % 3) END AS warehouse_id",
+            "CASE WHEN kind = 'S' THEN CAST(k div 3 % 3 AS int) END AS quantity",
+        )
     )

@@ -8,9 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docweave.plans.event_fixture import EVENTS_SCHEMA
+
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
+    return events.select(
         F.col("event_id").alias("seq"),
         F.col("ts").cast("timestamp").alias("arrival_ts"),
         F.concat(F.lit("product-"), F.col("user_id").cast("string")).alias("pid"),

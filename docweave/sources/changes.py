@@ -82,6 +82,11 @@ def kafka_stream(
     )
 
 
-def catalogue_table(spark: SparkSession, settings: Settings) -> DataFrame:
-    """The catalogue table over JDBC; needs the database driver."""
-    return spark.read.format("jdbc").options(**settings.jdbc_options()).load()
+def catalogue_table(spark: SparkSession, settings: Settings, connections: int = 32) -> DataFrame:
+    """The catalogue table over JDBC, in parts by key; needs the database driver."""
+    options = settings.jdbc_options()
+    url, table = options.pop("url"), options.pop("dbtable")
+    parts = [
+        f"abs(mod(hashtext(product_id)::bigint, {connections})) = {i}" for i in range(connections)
+    ]
+    return spark.read.jdbc(url, table, predicates=parts, properties=options)
