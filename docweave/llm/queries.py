@@ -4,22 +4,63 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from docweave.llm import decontaminate, line_dedup
+from docweave.llm.byte_bpe import decode, encode
 from docweave.llm.jaccard_join import jaccard_join
+from docweave.llm.language_id import held_out, identify, learn_profiles
+
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = learn_profiles(docs.filter(~held_out()))
+    return identify(docs.select("doc_id", "text"), profiles).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path(RANKS)
+    ids = encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return decode(ids, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_line_dedup": op3_line_dedup,
+    "op6_language_id": op6_language_id,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op9_decontaminate": op9_decontaminate,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
 #: DuckDB SQL of those queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": line_dedup.SQL,
+    "op9_decontaminate": decontaminate.SQL,
+}

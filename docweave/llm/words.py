@@ -136,3 +136,16 @@ def distinct(values: np.ndarray) -> np.ndarray:
     """The distinct values, sorted."""
     values = np.sort(values)
     return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def all_shingles(part: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of ``size`` words of all rows of ``part``, and their bounds by row; shorter rows have none."""
+    n = max(len(part.hashes) - size + 1, 0)
+    factor = randoms(size, seed=2)
+    total = np.zeros(n, dtype=_U)
+    for k in range(size):
+        total += part.hashes[k : k + n] * factor[k]
+    ends = np.repeat(part.bounds[1:], np.diff(part.bounds))[:n]
+    inside = np.arange(n) + size <= ends
+    counts = np.maximum(np.diff(part.bounds) - size + 1, 0)
+    return mixed(total[inside] + _U(size)), np.append(0, np.cumsum(counts))
