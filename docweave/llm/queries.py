@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import decontaminate, line_dedup
+from docweave.llm import decontaminate, line_dedup, warc
 from docweave.llm.byte_bpe import decode, encode
 from docweave.llm.jaccard_join import jaccard_join
 from docweave.llm.language_id import held_out, identify, learn_profiles
@@ -43,6 +43,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_warc(_table(spark, sf_dir, "pages"))
+    return warc.read_warc(spark, archives).select(
+        warc.page_number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_number("refers_to").alias("refers_to"),
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
@@ -62,5 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB SQL of those queries that SQL can express.
 ORACLES: dict[str, str] = {
     "op3_line_dedup": line_dedup.SQL,
+    "op8_warc": warc.SQL,
     "op9_decontaminate": decontaminate.SQL,
 }
