@@ -12,6 +12,7 @@ from docweave.llm import decontaminate, line_dedup, warc
 from docweave.llm.byte_bpe import decode, encode
 from docweave.llm.jaccard_join import jaccard_join
 from docweave.llm.language_id import held_out, identify, learn_profiles
+from docweave.llm.neighbours import nearest
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -20,6 +21,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vec"))
+    return nearest(vectors, F.col("id") % 50 == 0)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -60,6 +66,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest_neighbours": op1_nearest_neighbours,
     "op3_line_dedup": op3_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
