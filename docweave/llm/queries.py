@@ -13,6 +13,8 @@ from docweave.llm.byte_bpe import decode, encode
 from docweave.llm.jaccard_join import jaccard_join
 from docweave.llm.language_id import held_out, identify, learn_profiles
 from docweave.llm.neighbours import nearest
+from docweave.llm.quality import learn, rate
+from docweave.llm.quotations import link_quotations
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -31,6 +33,18 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    # Toxic texts are the lowest grade, then the poor ones, then the good ones.
+    grade = F.when(F.col("toxic") == 1, 0).otherwise(F.col("quality") + 1)
+    model = learn(docs, _table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade")))
+    return rate(docs, model).select("doc_id", "expected_grade", "tail_prob", "keep")
+
+
+def op5_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotations(_table(spark, sf_dir, "conversations"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     profiles = learn_profiles(docs.filter(~held_out()))
@@ -68,6 +82,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op3_line_dedup": op3_line_dedup,
+    "op4_quality": op4_quality,
+    "op5_quotations": op5_quotations,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_warc": op8_warc,
