@@ -15,6 +15,7 @@ from docweave.llm.language_id import held_out, identify, learn_profiles
 from docweave.llm.neighbours import nearest
 from docweave.llm.quality import learn, rate
 from docweave.llm.quotations import link_quotations
+from docweave.llm.repeats import without_repeats
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -28,6 +29,11 @@ def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, F.col("id") % 50 == 0)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = without_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.line_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -81,6 +87,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality": op4_quality,
     "op5_quotations": op5_quotations,
