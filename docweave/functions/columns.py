@@ -10,7 +10,8 @@ FUTURE_TOLERANCE_MS = 60_000
 # Fixed patterns: Unicode white space, ISO instants with a zone, plain numbers.
 _BLANK = r"^[\s\x1C-\x1F\p{Z}]*\z"
 _INSTANT = r"^[+-]?\d{4,6}-\d\d-\d\dT\d\d:\d\d(:\d\d(\.\d{1,9})?)?([zZ]|[+-]\d\d(:?\d\d)?)\z"
-_NUMBER = r"^-?\d+(\.\d+)?([eE][+-]?\d+)?\z"
+NUMBER = r"^-?\d+(\.\d+)?([eE][+-]?\d+)?\z"
+WHOLE = r"^-?\d+\z"
 
 
 def is_blank(text: Column) -> Column:
@@ -22,7 +23,7 @@ def instant(text: Column) -> Column:
     """Wire time: an ISO instant with a zone, or seconds since the epoch."""
     seconds = text.try_cast("decimal(20,6)")
     return F.when(text.rlike(_INSTANT), text.try_cast("timestamp")).when(
-        text.rlike(_NUMBER) & (F.abs(seconds) < F.lit(10**11)),
+        text.rlike(NUMBER) & (F.abs(seconds) < F.lit(10**11)),
         F.timestamp_micros((seconds * 1_000_000).cast("bigint")),
     )
 

@@ -71,25 +71,28 @@ def typed(documents: DataFrame) -> DataFrame:
 def document_json(documents: DataFrame) -> DataFrame:
     """Documents as wire JSON: all fields in order, nulls written, ISO times in UTC.
 
-    Zeros that only fill up the decimal scale of the price are left out.
+    The price is written without exponent and without zeros that only fill up its scale.
     """
-    fields = [
-        F.map_from_entries(sorted_entries(F.col(f))).alias(wire)
-        if f == "stock_by_warehouse"
-        else F.col(f).alias(wire)
-        for f, wire in S.WIRE_NAMES.items()
-    ]
+    plain = F.regexp_replace(F.col("price").cast("string"), r"\.?0+$", "")
+    written = {"stock_by_warehouse": F.map_from_entries(sorted_entries(F.col("stock_by_warehouse"))), "price": plain}
+    fields = [written.get(f, F.col(f)).alias(wire) for f, wire in S.WIRE_NAMES.items()]
     options = {
         "ignoreNullFields": "false",
         "timeZone": "UTC",
         "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     }
     text = F.to_json(F.struct(*fields), options)
-    text = F.regexp_replace(text, r'("price":-?\d+\.\d*?[1-9])0+([,}])', "$1$2")
-    text = F.regexp_replace(text, r'("price":-?\d+)\.0+([,}])', "$1$2")
+    # Quotes inside a text are escaped, so this is the field and nothing else.
+    text = F.regexp_replace(text, r'"price":"([^"]*)"', '"price":$1')
     return documents.select("product_id", text.alias("json"))
 
 
+def update_actions(documents: DataFrame) -> DataFrame:
+    """The bulk action of each document: an update by id that creates what isn't there."""
+    body = F.concat(F.lit('{"doc":'), F.col("json"), F.lit(',"doc_as_upsert":true}'))
+    return document_json(documents).select("product_id", body.alias("action"))
+
+
 READ_FIELDS = (
     "product_id",
     "name",

@@ -33,20 +33,26 @@ def event_counts(counted: DataFrame) -> DataFrame:
 
 
 def rates(events: DataFrame, by_stream: bool = False, slide: str | None = None) -> DataFrame:
-    """Events per second in one-minute windows of the arrival clock."""
-    window = F.window("arrival_ts", "1 minute", slide)
+    """Events per second in one-minute windows of the arrival clock.
+
+    Sliding windows are sums of buckets as long as the slide, which divides a minute: so
+    events are counted once, and only buckets are spread over the windows.
+    """
     by = ["stream"] if by_stream else []
-    return (
+    bucket = F.window("arrival_ts", slide or "1 minute")
+    counts = (
         events.withColumn("stream", stream_name())
-        .groupBy(window.alias("w"), *by)
+        .groupBy(bucket.alias("w"), *by)
         .agg(F.count(F.lit(1)).alias("events"))
-        .select(
-            F.col("w.start").alias("minute"),
-            *by,
-            "events",
-            F.round(F.col("events") / F.lit(60.0), 6).alias("per_second"),
-        )
+        .select(F.col("w.start").alias("minute"), *by, "events")
     )
+    if slide:
+        counts = (
+            counts.groupBy(F.window("minute", "1 minute", slide).alias("w"), *by)
+            .agg(F.sum("events").alias("events"))
+            .select(F.col("w.start").alias("minute"), *by, "events")
+        )
+    return counts.withColumn("per_second", F.round(F.col("events") / F.lit(60.0), 6))
 
 
 def join_completeness(counted: DataFrame) -> DataFrame:

@@ -74,16 +74,16 @@ WIRE_NAMES = {
 CONTENT_FIELDS = tuple(f for f in DOCUMENT.fieldNames() if f != "indexed_at")
 
 #: Catalogue row inside a change envelope; ``updated_at`` is read as text since
-#: it may be a number or an ISO time.
+#: it may be a number or an ISO time. Images are read as text first.
 ENVELOPE_ROW = (
-    "struct<product_id: string, name: string, category: string, brand: string,"
-    " description: string, updated_at: string>"
+    "product_id string, name string, category string, brand string,"
+    " description string, updated_at string"
 )
-ENVELOPE = f"op string, before {ENVELOPE_ROW}, after {ENVELOPE_ROW}"
+ENVELOPE = "op string, before string, after string"
 
 PRODUCT_MESSAGE = (
     "productId string, name string, category string, brand string,"
     " description string, updatedAt string, operation string"
 )
-PRICE_MESSAGE = "productId string, price decimal(38,18), currency string, updatedAt string"
-STOCK_MESSAGE = "productId string, warehouseId string, quantity int, updatedAt string"
+PRICE_MESSAGE = "productId string, price string, currency string, updatedAt string"
+STOCK_MESSAGE = "productId string, warehouseId string, quantity string, updatedAt string"

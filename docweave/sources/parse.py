@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave import schemas as S
-from docweave.functions.columns import epoch_ms, instant, is_blank, is_future
+from docweave.functions.columns import NUMBER, WHOLE, epoch_ms, instant, is_blank, is_future
 
 MALFORMED = "malformed"
 NO_ROW = "no_row"
@@ -43,6 +43,22 @@ def _decoded(df: DataFrame, value: str, schema: str) -> tuple[DataFrame, Column]
     return df, F.col("_msg").isNull() | F.col(f"_msg.{_CORRUPT}").isNotNull()
 
 
+def _is_container(text: Column, json: Column, *path: str) -> Column:
+    """Whether a value read as text was an object or an array in the message.
+
+    Only text that looks like one is looked up again.
+    """
+    value = F.try_variant_get(F.try_parse_json(json), "$." + ".".join(path), "variant")
+    kind = F.schema_of_variant(value)
+    return F.coalesce(text.rlike(r"^\s*[\[{]"), F.lit(False)) & F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
+
+
+def _number(text: Column, pattern: str, kind: str) -> Column:
+    """A number or the text of one; null for anything else, grouping signs included."""
+    plain = F.trim(text)
+    return F.when(plain.rlike(pattern), plain.try_cast(kind))
+
+
 def _first_reason(*tests: tuple[Column, str]) -> Column:
     """Reason of the first test that holds; a null test does not hold."""
     return F.coalesce(*(F.when(test, F.lit(reason)) for test, reason in tests))
@@ -57,26 +73,25 @@ def parse_catalogue(
     takes the clock, unless ``parse_iso`` also admits ISO text.
     """
     df, malformed = _decoded(df, value, S.ENVELOPE)
-    df = df.withColumns(
-        {
-            "operation": F.col("_msg.op"),
-            "_row": F.when(F.col("_msg.op") == "d", F.col("_msg.before")).otherwise(
-                F.col("_msg.after")
-            ),
-        }
-    )
+    # Only the chosen image is read: what the other one holds makes no difference.
+    image = F.when(F.col("_msg.op") == "d", F.col("_msg.before")).otherwise(F.col("_msg.after"))
+    row = F.from_json(image, f"{S.ENVELOPE_ROW}, {_CORRUPT} string", _JSON_OPTIONS)
+    df = _once(df.withColumns({"operation": F.col("_msg.op"), "_image": image}), "_row", row)
+    unreadable = F.col(f"_row.{_CORRUPT}").isNotNull()
     now_ms = F.unix_millis(F.col(clock))
     stamp = epoch_ms(F.col("_row.updated_at"))
     iso = instant(F.col("_row.updated_at")) if parse_iso else F.lit(None).cast("timestamp")
     df = _once(df, "_ms", stamp).withColumn("_iso", iso)
     ahead = (F.col("_ms") > now_ms + 60_000) | is_future(F.col("_iso"), F.col(clock))
-    no_row = F.col("operation").isNull() | is_blank(F.col("operation")) | F.col("_row").isNull()
-    no_key = F.col("_row.product_id").isNull() | is_blank(F.col("_row.product_id"))
+    no_row = F.col("operation").isNull() | is_blank(F.col("operation")) | F.col("_image").isNull()
+    key = F.col("_row.product_id")
+    no_key = key.isNull() | is_blank(key) | _is_container(key, F.col("_image"), "product_id")
     df = df.withColumn(
         "reject_reason",
         _first_reason(
             (malformed, MALFORMED),
             (no_row, NO_ROW),
+            (unreadable, MALFORMED),
             (no_key, BLANK_PRODUCT_ID),
             (ahead, FUTURE_TIMESTAMP),
         ),
@@ -91,7 +106,7 @@ def parse_catalogue(
             "description": F.col("_row.description"),
             "updated_at": F.coalesce(timed, F.col("_iso"), F.col(clock)),
         }
-    ).drop("_msg", "_row", "_ms", "_iso")
+    ).drop("_msg", "_image", "_row", "_ms", "_iso")
 
 
 def parse_products(df: DataFrame, value: str = "value") -> DataFrame:
@@ -116,35 +131,44 @@ def parse_products(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def parse_prices(df: DataFrame, value: str = "value", clock: str = "arrival_ts") -> DataFrame:
+    """A price may be a number or its text; more than 20 digits before the point are malformed, after it 18 are kept."""
     df, malformed = _decoded(df, value, S.PRICE_MESSAGE)
     df = _once(df, "updated_at", instant(F.col("_msg.updatedAt")))
     required = [F.col(f"_msg.{f}") for f in ("productId", "price", "currency", "updatedAt")]
+    price = _number(F.col("_msg.price"), NUMBER, "decimal(38,18)")
+    bad_price = F.col("_msg.price").isNotNull() & price.isNull()
+    bad_id = _is_container(F.col("_msg.productId"), F.col(value), "productId")
     bad_time = F.col("_msg.updatedAt").isNotNull() & F.col("updated_at").isNull()
     return df.withColumns(
         {
             "reject_reason": _first_reason(
-                (malformed | bad_time, MALFORMED),
+                (malformed | bad_time | bad_price | bad_id, MALFORMED),
                 (_any_null(required), MISSING_FIELD),
                 (is_blank(F.col("_msg.productId")), BLANK_PRODUCT_ID),
                 (is_future(F.col("updated_at"), F.col(clock)), FUTURE_TIMESTAMP),
             ),
             "product_id": F.col("_msg.productId"),
-            "price": F.col("_msg.price"),
+            "price": price,
             "currency": F.col("_msg.currency"),
         }
     ).drop("_msg")
 
 
 def parse_stock(df: DataFrame, value: str = "value", clock: str = "arrival_ts") -> DataFrame:
-    """A missing or fractional quantity is rejected, not read as a number."""
+    """A quantity may be a whole number or its text; a missing or fractional one is rejected."""
     df, malformed = _decoded(df, value, S.STOCK_MESSAGE)
     df = _once(df, "updated_at", instant(F.col("_msg.updatedAt")))
     required = [F.col(f"_msg.{f}") for f in ("productId", "warehouseId", "quantity", "updatedAt")]
+    quantity = _number(F.col("_msg.quantity"), WHOLE, "int")
+    bad_quantity = F.col("_msg.quantity").isNotNull() & quantity.isNull()
+    bad_id = _is_container(F.col("_msg.productId"), F.col(value), "productId") | _is_container(
+        F.col("_msg.warehouseId"), F.col(value), "warehouseId"
+    )
     bad_time = F.col("_msg.updatedAt").isNotNull() & F.col("updated_at").isNull()
     return df.withColumns(
         {
             "reject_reason": _first_reason(
-                (malformed | bad_time, MALFORMED),
+                (malformed | bad_time | bad_quantity | bad_id, MALFORMED),
                 (_any_null(required), MISSING_FIELD),
                 (is_blank(F.col("_msg.productId")), BLANK_PRODUCT_ID),
                 (is_blank(F.col("_msg.warehouseId")), BLANK_WAREHOUSE_ID),
@@ -152,7 +176,7 @@ def parse_stock(df: DataFrame, value: str = "value", clock: str = "arrival_ts")
             ),
             "product_id": F.col("_msg.productId"),
             "warehouse_id": F.col("_msg.warehouseId"),
-            "quantity": F.col("_msg.quantity"),
+            "quantity": quantity,
         }
     ).drop("_msg")
 

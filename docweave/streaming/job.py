@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from docweave import schemas as S
 from docweave.functions.lifecycle import EMITTED, SUPPRESSED, Lifetimes
 from docweave.operators.expiry import lifecycle_documents
 from docweave.settings import Settings
@@ -67,6 +69,18 @@ def with_counters(events: DataFrame) -> DataFrame:
     )
 
 
+def _as_stream(rows: DataFrame, folder: str) -> DataFrame:
+    """Rows kept in a folder of the query, so that a restart goes on with the same."""
+    spark = rows.sparkSession
+    try:
+        spark.read.schema(S.CHANGE).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows.select(*S.CHANGE.fieldNames()).write.parquet(folder)
+    return spark.readStream.schema(S.CHANGE).parquet(folder)
+
+
 def start(
     changes: DataFrame,
     table: IndexTable,
@@ -79,9 +93,12 @@ def start(
     """Starts the query; ``checkpoint`` is a folder all executors share.
 
     A replay stops after the input at hand. With the processing clock the query
-    runs on, since timers fall due without input.
+    runs on, since timers fall due without input. ``initial`` are the rows of the catalogue
+    table: they come first and give documents like any other change.
     """
-    events = with_counters(enrich(changes, lifetimes, clock, initial))
+    if initial is not None:
+        changes = changes.unionByName(_as_stream(initial, f"{checkpoint.rstrip('/')}-initial"))
+    events = with_counters(enrich(changes, lifetimes, clock))
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         # held, so the stateful plan runs once although the rows are read twice

@@ -70,13 +70,11 @@ class Enricher(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         state = self._load()
         now = self._now(timerValues)
-        out = []
         for position, row in enumerate(sorted(rows, key=lambda r: r.seq)):
             event = self._event(row, now)
             outcome, other_side, document = advance(state, event, self._lifetimes)
-            out.append(self._row(row, event.now, outcome, other_side, document, position))
+            yield self._row(row, event.now, outcome, other_side, document, position)
         self._save(state)
-        return iter(out)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         state = self._load()
@@ -84,12 +82,6 @@ class Enricher(StatefulProcessor):
         self._save(state)
         return iter(())
 
-    def handleInitialState(self, key: Any, initialState: Any, timerValues: Any) -> None:
-        """Rows of the catalogue table known before the first batch; emits nothing."""
-        state = self._load()
-        advance(state, self._event(initialState, self._now(timerValues)), self._lifetimes)
-        self._save(state)
-
     def close(self) -> None:
         pass
 
@@ -191,7 +183,6 @@ def enrich(
     changes: DataFrame,
     lifetimes: Lifetimes,
     clock: str = PROCESSING,
-    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Change rows to one row per event (``OUTPUT``); needs the RocksDB state store."""
     raw = _in_micros(changes).groupBy("product_id").transformWithState(
@@ -199,7 +190,6 @@ def enrich(
         outputStructType=_RAW_OUTPUT,
         outputMode="Update",
         timeMode="ProcessingTime" if clock == PROCESSING else "None",
-        initialState=None if initial is None else _in_micros(initial).groupBy("product_id"),
     )
     return raw.withColumns({t: F.timestamp_micros(t) for t in _TIMES})
 

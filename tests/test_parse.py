@@ -33,6 +33,12 @@ PRICES = {
     "euro": (price(currency="EUR"), None),
     "zero": (price(price=0.00), None),
     "large": (price(price=1234567.89), None),
+    "quoted": (price(price="19.99"), None),
+    "grouped": (price(price="1,234.5"), "malformed"),
+    "no number": (price(price=True), "malformed"),
+    "id an object": (price(productId={"a": 1}), "malformed"),
+    "id an array": (price(productId=["p1"]), "malformed"),
+    "id like an object": (price(productId="{a}"), None),
     "price as text": (price(price="12.50"), None),
     "blank currency": (price(currency=""), None),
     "negative": (price(price=-1), None),
@@ -94,6 +100,10 @@ STOCK = {
     "blank id": (stock(productId=" ", warehouseId=""), "blank_product_id"),
     "missing quantity": (stock(quantity=...), "missing_field"),
     "fractional quantity": (stock(quantity=1.5), "malformed"),
+    "quoted quantity": (stock(quantity="5"), None),
+    "quantity no number": (stock(quantity="five"), "malformed"),
+    "quantity too large": (stock(quantity=2**31), "malformed"),
+    "warehouse an object": (stock(warehouseId={"a": 1}), "malformed"),
     "future": (stock(updatedAt=iso(61)), "future_timestamp"),
     "empty": ("", "malformed"),
 }
@@ -118,6 +128,11 @@ CATALOGUE = {
     "update": (envelope(), None),
     "snapshot read": (envelope(op="r"), None),
     "delete": (envelope(op="d", before=DELETED_ROW), None),
+    "id an object": (envelope(product_id={"a": 1}), "blank_product_id"),
+    "id an array": (envelope(product_id=["p1"]), "blank_product_id"),
+    "id a number": (envelope(product_id=7), None),
+    "unreadable row not chosen": (envelope(before="no row"), None),
+    "unreadable row": (envelope(op="d", before="no row"), "malformed"),
     "delete without row": (envelope(op="d"), "no_row"),
     "no op": (envelope(op=...), "no_row"),
     "blank op": (envelope(op=" "), "no_row"),

@@ -162,15 +162,20 @@ def test_quarantine(spark, tmp_path):
     assert found == {("{{x", "malformed"), ("", "malformed"), ("{}", "missing_field")}
 
 
-def test_initial_rows_seed_the_state(spark, tmp_path):
-    table_rows = [change(-1, "P", "p1", name="From the table", updated_at=NOW)]
+def test_initial_rows_give_documents_too(spark, tmp_path):
+    """Also those of products without a later change; a restart doesn't repeat them."""
+    table_rows = [change(-1, "P", p, name=f"Table {p}", updated_at=NOW) for p in ("p1", "p2", "p3")]
     initial = spark.createDataFrame(table_rows, S.CHANGE)
-    write(spark, tmp_path / "in", [change(0, "S", "p1", warehouse_id="w", quantity=3, updated_at=NOW)], S.CHANGE)
     table = IndexTable(spark, str(tmp_path / "index"))
-    run(
-        start(read(spark, tmp_path / "in", S.CHANGE), table, str(tmp_path / "cp"), Lifetimes(), ARRIVAL, initial)
-    )
-    assert [(r.name, r.total_stock) for r in table.documents().collect()] == [("From the table", 3)]
+
+    def go():
+        run(start(read(spark, tmp_path / "in", S.CHANGE), table, str(tmp_path / "cp"), Lifetimes(), ARRIVAL, initial))
+        return sorted((r.product_id, r.name, r.total_stock) for r in table.documents().collect())
+
+    write(spark, tmp_path / "in", [change(0, "S", "p1", warehouse_id="w", quantity=3, updated_at=NOW)], S.CHANGE)
+    assert go() == [("p1", "Table p1", 3), ("p2", "Table p2", None), ("p3", "Table p3", None)]
+    write(spark, tmp_path / "in", [change(1, "D", "p2", updated_at=NOW), change(2, "P", "p3", name="New", updated_at=NOW.replace(year=NOW.year + 1))], S.CHANGE)
+    assert go() == [("p1", "Table p1", 3), ("p2", "Table p2", None), ("p3", "New", None)]
 
 
 def test_upsert_rule(spark, tmp_path):
@@ -211,3 +216,19 @@ def test_settings(tmp_path):
     assert "15432" in settings.jdbc_options()["url"]
     assert settings.kafka_options("kafka.topic.prices")["startingOffsets"] == "latest"
     assert load_settings(env={}).values == DEFAULTS
+
+
+def test_wire_prices_have_no_exponent(spark):
+    prices = ["0.00", "0.0000001", "19.90", "100", "-0.5", None]
+    rows = [(f"p{i}", p) for i, p in enumerate(prices)]
+    document = dict.fromkeys(S.DOCUMENT.fieldNames())
+    frame = spark.createDataFrame(rows, "product_id string, price string").selectExpr(
+        *(
+            f"cast({f} as decimal(38,18)) as price" if f == "price" else f if f == "product_id" else f"cast(null as {S.DOCUMENT[f].dataType.simpleString()}) as {f}"
+            for f in document
+        )
+    )
+    written = [r.json.split('"price":')[1].split(",")[0] for r in index.document_json(frame).orderBy("product_id").collect()]
+    assert written == ["0", "0.0000001", "19.9", "100", "-0.5", "null"]
+    action = index.update_actions(frame).orderBy("product_id").first().action
+    assert action.startswith('{"doc":{"productId":"p0"') and action.endswith('},"doc_as_upsert":true}')
