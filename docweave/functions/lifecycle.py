@@ -57,10 +57,11 @@ class ProductState:
     __slots__ = (
         "product", "product_at", "price", "price_at", "pair_due",
         "handed", "stock", "stock_at", "stock_due",
-        "sent", "sent_due", "_entries",
+        "sent", "sent_due", "clock", "_entries",
     )
 
     def __init__(self):
+        self.clock = None
         self.forget_pair()
         self.forget_stock()
         self.forget_sent()

@@ -63,7 +63,11 @@ LIFECYCLE = T.StructType(
 def lifecycle(
     changes: DataFrame, lifetimes: Lifetimes, max_rows: int = MAX_ROWS_PER_KEY
 ) -> DataFrame:
-    """All three stages with their idle times, one row per event (``LIFECYCLE``)."""
+    """All three stages with their idle times, one row per event (``LIFECYCLE``).
+
+    The clock of a product never runs back: an event that arrives with an earlier
+    ``arrival_ts`` than one before it takes the latest so far, in either form and in the stream.
+    """
     return by_history_length(
         changes,
         lambda rows, layout: _streamed(rows, layout, lifetimes),
@@ -82,6 +86,10 @@ def lifecycle_documents(history: DataFrame) -> DataFrame:
     )
 
 
+def _with_steady_clock(changes: DataFrame, layout: Layout) -> DataFrame:
+    return running(changes, layout, maxes={"arrival_ts": F.col("arrival_ts")})
+
+
 # ---------------------------------------------------------------- whole histories
 
 
@@ -141,7 +149,7 @@ def _streamed(changes: DataFrame, layout: Layout, lifetimes: Lifetimes) -> DataF
                 [*(data[n] for n in _PASSED), *made.values()], [*_PASSED, *made]
             )
 
-    rows = layout.arrange(changes).sortWithinPartitions(*layout.group, layout.order)
+    rows = _with_steady_clock(layout.arrange(changes), layout).sortWithinPartitions(*layout.group, layout.order)
     return rows.mapInArrow(fold, LIFECYCLE)
 
 
@@ -149,7 +157,7 @@ def _streamed(changes: DataFrame, layout: Layout, lifetimes: Lifetimes) -> DataF
 
 
 def _blocked(changes: DataFrame, layout: Layout, lifetimes: Lifetimes) -> DataFrame:
-    changes = layout.arrange(changes)
+    changes = _with_steady_clock(layout.arrange(changes), layout)
     pairs = _expiring_pairs(changes, layout, lifetimes)
     inputs = pairs.filter("accepted").unionByName(
         changes.filter(F.col("kind") == S.STOCK).select(

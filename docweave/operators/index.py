@@ -48,6 +48,17 @@ def fold_upserts(documents: DataFrame, order: list[str]) -> DataFrame:
     ).select(*S.DOCUMENT.fieldNames(), *order)
 
 
+def last_documents(documents: DataFrame) -> DataFrame:
+    """The last document of each product.
+
+    That is ``fold_upserts`` where a product's documents never lose a warehouse,
+    as without expiry, for one small row per product and task.
+    """
+    fields = S.DOCUMENT.fieldNames()
+    last = F.max_by(F.struct(*fields), "seq").alias("last")
+    return documents.groupBy("product_id").agg(last).select("last.*")
+
+
 #: Documents as the index types them: cents, 32-bit counts and scores.
 _INDEX_TYPES = {
     "price": T.DecimalType(18, 2),
@@ -115,6 +126,12 @@ def document_count(index: DataFrame) -> DataFrame:
     return index.agg(F.count(F.lit(1)).alias("documents"))
 
 
+def product_count(changes: DataFrame) -> DataFrame:
+    """How many documents these changes make: a product's first event that is no delete makes one."""
+    products = changes.filter(F.col("kind") != S.DELETE).select("product_id").distinct()
+    return products.agg(F.count(F.lit(1)).alias("documents"))
+
+
 def at_least_complete(index: DataFrame, threshold: float) -> DataFrame:
     return index.filter(F.col("completeness") >= threshold).select(*READ_FIELDS)
 

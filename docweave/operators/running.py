@@ -21,9 +21,6 @@ from pyspark.sql.window import Window
 
 #: Rows of one key that one task may hold.
 MAX_ROWS_PER_KEY = 4_000_000
-#: Bound on the list of long keys, hence on what is broadcast.
-MAX_LONG_KEYS = 100_000
-
 BLOCK = "_block"
 _CARRY = "_carry"
 
@@ -52,18 +49,18 @@ class Layout:
         return df.withColumn(BLOCK, start.cast("bigint"))
 
 
-def long_keys(df: DataFrame, key: str = "product_id", max_rows: int = MAX_ROWS_PER_KEY) -> list:
-    """Keys with more rows than one task should hold.
+def long_keys(df: DataFrame, key: str = "product_id", max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame | None:
+    """Keys with more rows than one task should hold; None if there are none.
 
-    At most ``MAX_LONG_KEYS``: each has more than that share of all rows. The
-    row count alone, which reads no column, settles the usual case.
+    The limit is fixed, so the list grows with the table, at most to one key per
+    ``max_rows`` rows; it stays a table. A table no larger than the limit needs no
+    count by key, and its row count reads no column.
     """
-    total = df.count()
-    limit = max(max_rows, total // MAX_LONG_KEYS)
-    if total <= limit:
-        return []
+    if df.count() <= max_rows:
+        return None
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return [row[0] for row in counts.filter(F.col("n") > limit).select(key).collect()]
+    keys = checkpointed(counts.filter(F.col("n") > max_rows).select(key))
+    return None if keys.isEmpty() else keys
 
 
 def by_history_length(
@@ -79,13 +76,11 @@ def by_history_length(
     table reads no data.
     """
     keys = long_keys(df, key, max_rows)
-    if not keys:
+    if keys is None:
         return compute(df, Layout(key))
-    spark = df.sparkSession
-    listed = F.broadcast(spark.createDataFrame([(k,) for k in keys], df.select(key).schema))
     blocked = Layout(key, width=max_rows)
-    short = compute(df.join(listed, key, "left_anti"), Layout(key))
-    long = (compute_long or compute)(df.join(listed, key, "left_semi"), blocked)
+    short = compute(df.join(keys, key, "left_anti"), Layout(key))
+    long = (compute_long or compute)(df.join(keys, key, "left_semi"), blocked)
     return short.unionByName(long.drop(BLOCK))
 
 

@@ -91,8 +91,12 @@ def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted_events(change_events(spark, sf_dir))
 
 
-def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.fold_upserts(emitted(_history_with_map(spark, sf_dir)), ["seq"]).drop("seq")
+def _index(spark: SparkSession, sf_dir: str, product_id: str | None = None) -> DataFrame:
+    """Without expiry each document has the whole stock map, so the last one is the merged one."""
+    changes = change_events(spark, sf_dir)
+    if product_id is not None:
+        changes = changes.filter(F.col("product_id") == product_id)
+    return index.last_documents(emitted(by_history_length(changes, _mapped_history)))
 
 
 # ------------------------------------------------------------------- sources
@@ -342,12 +346,12 @@ def doc_json(spark, sf_dir):
 
 @query
 def doc_lookup(spark, sf_dir):
-    return index.lookup(_index(spark, sf_dir), "product-7")
+    return index.lookup(_index(spark, sf_dir, "product-7"), "product-7")
 
 
 @query
 def doc_count(spark, sf_dir):
-    return index.document_count(_index(spark, sf_dir))
+    return index.product_count(change_events(spark, sf_dir))
 
 
 @query

@@ -47,8 +47,12 @@ _HEAD = T.StructType(
         T.StructField("stock_due", T.LongType()),
         T.StructField("sent", T.StringType()),
         T.StructField("sent_due", T.LongType()),
+        # a replay's clock: the latest arrival so far
+        T.StructField("clock", T.LongType()),
     ]
 )
+
+
 def _tuples(value: Any) -> Any:
     return tuple(_tuples(v) for v in value) if isinstance(value, list) else value
 
@@ -71,7 +75,9 @@ class Enricher(StatefulProcessor):
         state = self._load()
         now = self._now(timerValues)
         for position, row in enumerate(sorted(rows, key=lambda r: r.seq)):
-            event = self._event(row, now)
+            if now is None:
+                state.clock = max(state.clock or row.arrival_ts, row.arrival_ts)
+            event = self._event(row, state.clock if now is None else now)
             outcome, other_side, document = advance(state, event, self._lifetimes)
             yield self._row(row, event.now, outcome, other_side, document, position)
         self._save(state)
@@ -92,11 +98,11 @@ class Enricher(StatefulProcessor):
             return None
         return timerValues.getCurrentProcessingTimeInMs() * 1000
 
-    def _event(self, row: Row, now: int | None) -> Event:
+    def _event(self, row: Row, now: int) -> Event:
         price = None if row.price is None else format(row.price, "f")
         return Event(
             row.kind,
-            row.arrival_ts if now is None else now,
+            now,
             row.updated_at,
             tuple(row[f] for f in S.PRODUCT_FIELDS),
             (price, row.currency),
@@ -135,7 +141,7 @@ class Enricher(StatefulProcessor):
         state = ProductState()
         head = self._head.get()
         if head is not None:
-            pair, state.pair_due, handed, stock, state.stock_at, state.stock_due, sent, state.sent_due = head
+            pair, state.pair_due, handed, stock, state.stock_at, state.stock_due, sent, state.sent_due, state.clock = head
             if pair is not None:
                 state.product, state.product_at, state.price, state.price_at = _tuples(json.loads(pair))
             if handed is not None:
@@ -150,7 +156,7 @@ class Enricher(StatefulProcessor):
         pair = (state.product, state.product_at, state.price, state.price_at)
         has_pair = state.product_at is not None or state.price_at is not None
         has_handed = state.handed[1] is not None or state.handed[3] is not None
-        if not (has_pair or has_handed or state.stock or state.sent is not None):
+        if not (has_pair or has_handed or state.stock or state.sent is not None or state.clock is not None):
             self._head.clear()
         else:
             self._head.update(
@@ -163,6 +169,7 @@ class Enricher(StatefulProcessor):
                     state.stock_due,
                     None if state.sent is None else json.dumps(state.sent),
                     state.sent_due,
+                    state.clock,
                 )
             )
         if self._clock == PROCESSING:

@@ -4,14 +4,14 @@ import re
 
 import pytest
 
-import __spark_entry__ as registry
 from docweave.operators.running import by_history_length
+from docweave.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 def plan(spark, name):
-    df = registry.queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -42,8 +42,14 @@ def test_columns_are_pruned(spark, name):
     assert "value" not in schema
 
 
+def test_lookup_reads_one_product_and_count_builds_no_map(spark):
+    text = plan(spark, "doc_lookup")
+    assert re.search(r"Filter .*product-7", text[text.rindex("MapInArrow") :])
+    assert "InArrow" not in plan(spark, "doc_count")
+
+
 def test_no_cross_joins_and_no_broadcast_without_long_keys(spark):
-    for name in registry.queries():
+    for name in QUERIES:
         text = plan(spark, name)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         assert "ResolvedHint" not in text, name
