@@ -28,6 +28,7 @@ HEADLINE = (
     "dedup_changelog",
     "ttl_full_pipeline",
     "index_upsert",
+    "pipeline_from_messages",
     "join_completeness",
     "events_rate",
     "latency_stats",

@@ -381,6 +381,20 @@ _PRODUCT_TEXTS = _texts(
 
 # --------------------------------------------------------------------- queries
 
+# Parsed messages as one stream: three inputs share the event's number, so each has its place in three.
+_MESSAGE_CHANGES = """
+parsed AS (
+  SELECT seq * 3 AS n, seq, product_id, CASE operation WHEN 'd' THEN 'D' ELSE 'P' END AS kind, updated_at,
+         name, category, brand FROM cdc WHERE reject_reason IS NULL
+  UNION ALL BY NAME
+  SELECT seq * 3 + 1 AS n, seq, product_id, 'R' AS kind, updated_at, CAST(price AS DECIMAL(18,2)) AS price, currency
+  FROM prices WHERE reject_reason IS NULL
+  UNION ALL BY NAME
+  SELECT seq * 3 + 2 AS n, seq, product_id, 'S' AS kind, updated_at, warehouse_id, CAST(quantity AS INTEGER) AS quantity
+  FROM stocks WHERE reject_reason IS NULL),
+ev AS (
+  SELECT p.* EXCLUDE (n, seq), n AS seq, s.arrival_ts FROM parsed p JOIN src s ON s.seq = p.seq)"""
+
 _RATE = "COUNT(*) AS events, ROUND(COUNT(*) / 60.0, 6) AS per_second"
 _COUNTED = """
 counted AS (
@@ -543,6 +557,11 @@ FROM (SELECT product_id, content, COUNT(*) AS times_sent FROM sent GROUP BY ALL)
     "index_upsert": _indexed(
         f"SELECT product_id, {_DOC}, stock, arrival_ts AS indexed_at FROM idx"
     ),
+    "pipeline_from_messages": _sql(
+        _MESSAGE_EVENTS, _CDC_TEXTS, _CDC_PARSED, _PRICE_TEXTS, _PRICE_PARSED, _STOCK_TEXTS, _STOCK_PARSED,
+        _MESSAGE_CHANGES, _joins(), _SENT, _INDEX,
+        select=f"SELECT product_id, category, brand, {_DOC}, stock, arrival_ts AS indexed_at FROM idx",
+    ),
     "index_upsert_ttl": _expiring(
         f"""
 SELECT product_id, {_DOC}, {_STOCK_TEXT} AS stock, indexed_at FROM (

@@ -28,6 +28,7 @@ from docweave.plans import message_fixture as messages
 from docweave.plans.event_fixture import change_events
 from docweave.sources import changes as C
 from docweave.sources import parse
+from docweave.streaming.job import parsed_changes
 from docweave import schemas as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -324,6 +325,18 @@ def index_upsert(spark, sf_dir):
     return _index(spark, sf_dir).select("product_id", *DOC, "stock_by_warehouse", "indexed_at")
 
 
+@query
+def pipeline_from_messages(spark, sf_dir):
+    """From message text to the index: parsing, one order over three inputs, joins, suppression, upserts."""
+    changes = parsed_changes(
+        messages.catalogue_messages(spark, sf_dir),
+        messages.price_messages(spark, sf_dir),
+        messages.stock_messages(spark, sf_dir),
+    )
+    documents = index.last_documents(emitted(by_history_length(changes, _mapped_history)))
+    return documents.select("product_id", "category", "brand", *DOC, "stock_by_warehouse", "indexed_at")
+
+
 @query
 def index_upsert_ttl(spark, sf_dir):
     """After an expiry the index still holds warehouses the total no longer counts."""

@@ -34,9 +34,13 @@ def stock_changes(events: DataFrame) -> DataFrame:
 
 
 def merge_changes(products: DataFrame, prices: DataFrame, stock: DataFrame) -> DataFrame:
-    return (
-        product_changes(products).unionByName(price_changes(prices)).unionByName(stock_changes(stock))
-    )
+    """All three inputs in one order: each keeps its own, and at the same place they follow in this order.
+
+    ``seq`` need only be unique per product within an input; it is unique over all of them afterwards.
+    """
+    inputs = (product_changes(products), price_changes(prices), stock_changes(stock))
+    placed = [rows.withColumn("seq", F.col("seq") * len(inputs) + i) for i, rows in enumerate(inputs)]
+    return placed[0].unionByName(placed[1]).unionByName(placed[2])
 
 
 def table_snapshot(rows: DataFrame, seq: int = -1) -> DataFrame:
