@@ -341,26 +341,63 @@ def _marks(rows: list[tuple[int, int, int, bytes]], length: int) -> pa.RecordBat
     return _spans(number[row[later]], twin[row[later]].astype(np.int32), offset[later], offset[later] + length)
 
 
+_MARKS = "id long, twin int, low long, high long, hash_a long, hash_b long"
+
+
+def _windows(number: int, twin: int, low: int, content: bytes, length: int) -> pa.RecordBatch:
+    """The ``length``-byte strings of a context by place, as 128 bits of hash."""
+    n = len(content) - length + 1
+    words = np.ndarray(len(content) - 7, np.dtype("<u8"), np.frombuffer(content, np.uint8), 0, (1,))
+    hashes = []
+    for seed in (5, 6):
+        factor = randoms(length // 8 + 1, seed=seed)
+        total = np.zeros(n, _U)
+        for k, at in enumerate([*range(0, length - 7, 8), length - 8]):
+            total += mixed(words[at : at + n] ^ factor[min(k, len(factor) - 1)]) * factor[k % len(factor)]
+        hashes.append(mixed(total).view(np.int64))
+    place = low + np.arange(n)
+    return pa.record_batch(
+        [pa.array(np.full(n, number)), pa.array(np.full(n, twin, np.int32)), pa.array(place), pa.array(place + length), *map(pa.array, hashes)],
+        names=[c.split()[0] for c in _MARKS.split(", ")],
+    )
+
+
 def _index(length: int):
-    """Marks of contexts sorted by gram; an index takes the contexts of as many anchors as it has room for."""
+    """Marks of contexts sorted by gram; an index takes the contexts of as many anchors as it has room for.
+
+    The contexts of one anchor that alone are more than that are not held: their strings
+    go on by hash, to be compared by a shuffle.
+    """
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready, group, gram, size = [], [], None, 0
+        ready, size = [], 0
+        group, gram, weight = [], None, 0
+
+        def marks() -> pa.RecordBatch:
+            spans = _marks(ready, length)
+            none = pa.nulls(spans.num_rows, pa.int64())
+            return pa.record_batch([*spans.columns, none, none], names=[c.split()[0] for c in _MARKS.split(", ")])
+
         for batch in batches:
             for g, *row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
                 if g != gram:
                     if len(group) > 1:
                         ready += group
-                        size += sum(len(r[3]) for r in group)
-                    group, gram = [], g
+                        size += weight
+                    group, gram, weight = [], g, 0
                     if size >= INDEX_BYTES:
-                        yield _marks(ready, length)
+                        yield marks()
                         ready, size = [], 0
+                weight += len(row[3])
                 group.append(tuple(row))
+                if weight > INDEX_BYTES:
+                    for other in group:
+                        yield _windows(*other, length)
+                    group = []
         if len(group) > 1:
             ready += group
         if ready:
-            yield _marks(ready, length)
+            yield marks()
 
     return index
 
@@ -368,8 +405,10 @@ def _index(length: int):
 def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     """``id``, ``twin``, ``low``, ``high``: byte ranges whose ``length``-byte strings also start earlier.
 
-    Every such byte is in some range; ranges of a document may overlap.
+    Every such byte is in some range; ranges of a document may overlap. ``length`` is above ``GRAM``.
     """
+    if length <= GRAM:
+        raise ValueError(f"length must be above {GRAM}")
     spark = docs.sparkSession
     texts = docs.select(*identity(), "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -383,11 +422,15 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     several = settled.filter("low IS NULL").select(F.col("gram").alias("key"))
     shared = spark.sparkContext.broadcast(bitmap(several).tobytes())
     contexts = texts.mapInArrow(_contexts(length, shared), _CONTEXTS)
-    marks = (
-        contexts.repartition(parts, "gram").sortWithinPartitions("gram", "id", "twin", "low")
-        .mapInArrow(_index(length), "id long, twin int, low long, high long")
+    marks = stored(
+        contexts.repartition(parts, "gram").sortWithinPartitions("gram", "id", "twin", "low").mapInArrow(_index(length), _MARKS)
     )
-    return settled.filter("low IS NOT NULL").select("id", "twin", "low", "high").unionByName(marks)
+    strings, place, hashes = marks.filter("hash_a IS NOT NULL"), F.struct("id", "twin", "low"), ["hash_a", "hash_b"]
+    first = strings.groupBy(*hashes).agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").drop("last")
+    later = strings.join(first, hashes).filter(place != F.col("first"))
+    found = (settled.filter("low IS NOT NULL"), marks.filter("hash_a IS NULL"), later)
+    spans = [x.select("id", "twin", "low", "high") for x in found]
+    return spans[0].unionByName(spans[1]).unionByName(spans[2])
 
 
 def _settle_or_pass(length: int):
