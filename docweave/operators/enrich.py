@@ -158,6 +158,24 @@ def stock_columns() -> tuple[dict[str, Column], dict[str, Column]]:
     )
 
 
+def without_payload(changes: DataFrame) -> DataFrame:
+    """Changes with a 64-bit hash in place of the product's texts.
+
+    For reports that ask whether a document changed and whether it has a name, not what it
+    says: windows and the exchange then carry eight bytes. ``name`` stays null where it was.
+    """
+    digest = F.xxhash64(*S.PRODUCT_FIELDS, *(F.col(f).isNull() for f in S.PRODUCT_FIELDS))
+    named, nothing = F.col("name").isNotNull(), F.lit(None).cast("bigint")
+    return changes.withColumns(
+        {
+            "name": F.when(_is(S.UPSERT) & named, digest),
+            "category": F.when(_is(S.UPSERT) & ~named, digest),
+            "brand": nothing,
+            "description": nothing,
+        }
+    )
+
+
 def document_history(changes: DataFrame, layout: Layout) -> DataFrame:
     """Both joins and the change test in one pass: one row per event.
 

@@ -20,6 +20,7 @@ from docweave.operators.enrich import (
     judged_history,
     pair_history,
     stock_history,
+    without_payload,
 )
 from docweave.operators.expiry import lifecycle, lifecycle_documents
 from docweave.operators.running import Layout, by_history_length
@@ -72,6 +73,10 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_history_length(change_events(spark, sf_dir), document_history)
 
 
+def _light_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return by_history_length(without_payload(change_events(spark, sf_dir)), document_history)
+
+
 def _history_with_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_history_length(change_events(spark, sf_dir), _mapped_history)
 
@@ -261,7 +266,7 @@ def dedup_changelog(spark, sf_dir):
 
 @query
 def dedup_stats(spark, sf_dir):
-    return reports.dedup_stats(_history(spark, sf_dir))
+    return reports.dedup_stats(_light_history(spark, sf_dir))
 
 
 @query
@@ -402,22 +407,22 @@ def events_rate_sliding(spark, sf_dir):
 
 @query
 def dedup_rate(spark, sf_dir):
-    return reports.rates(_history(spark, sf_dir).filter("unchanged"))
+    return reports.rates(_light_history(spark, sf_dir).filter("unchanged"))
 
 
 @query
 def completeness_dist(spark, sf_dir):
-    return reports.completeness_distribution(emitted(_history(spark, sf_dir)))
+    return reports.completeness_distribution(emitted(_light_history(spark, sf_dir)))
 
 
 @query
 def latency_gauge(spark, sf_dir):
-    return reports.latency_gauge(emitted(_history(spark, sf_dir)))
+    return reports.latency_gauge(emitted(_light_history(spark, sf_dir)))
 
 
 @query
 def latency_stats(spark, sf_dir):
-    return reports.latency_stats(emitted(_history(spark, sf_dir)))
+    return reports.latency_stats(emitted(_light_history(spark, sf_dir)))
 
 
 @query

@@ -14,7 +14,7 @@ from docweave import schemas as S
 from docweave.functions.columns import stock_text
 from docweave.functions.lifecycle import Lifetimes
 from docweave.operators import reports
-from docweave.operators.enrich import counted_events, document_history
+from docweave.operators.enrich import counted_events, document_history, without_payload
 from docweave.operators.expiry import lifecycle
 from docweave.operators.running import by_history_length, long_keys
 from docweave.operators.snapshot import latest_documents
@@ -177,6 +177,18 @@ def test_reports_do_not_depend_on_blocks(spark):
     assert cut == whole
 
 
+def test_reports_without_texts(spark):
+    rng = random.Random(11)
+    rows = [{**r, "category": rng.choice([None, "c"]), "name": rng.choice([None, r["name"]])} if r["kind"] == "P" else r for r in make_rows(9, 900, True)]
+    changes = frame(spark, rows)
+    full, light = (by_history_length(c, document_history, max_rows=10_000) for c in (changes, without_payload(changes)))
+
+    def seen(history):
+        return sorted(map(str, history.select("seq", "accepted", "unchanged", F.col("name").isNull(), "price", "total_stock", "last_product_update").collect()))
+
+    assert seen(full) == seen(light)
+
+
 def test_latest_documents_do_not_depend_on_blocks(spark):
     changes = frame(spark, make_rows(5, 900, False))
     whole, cut = (sorted(map(str, latest_documents(changes, n).collect())) for n in (10_000, 20))
