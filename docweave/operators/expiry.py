@@ -192,7 +192,7 @@ def _expiring_pairs(changes: DataFrame, layout: Layout, lifetimes: Lifetimes) ->
 
 def _expiring_documents(inputs: DataFrame, layout: Layout, lifetimes: Lifetimes) -> DataFrame:
     """Second join by segments between expiries, then suppression."""
-    rows = _mark_expired(inputs, layout, lifetimes.stock, version=F.col("seq"))
+    rows = _mark_idle(inputs, layout, lifetimes.stock)
     rows = running(rows, layout, sums={"segment": F.col("_expired").cast("int")}).drop("_expired")
     rows = with_replaced(rows, layout, within=("segment",))
     sums, maxes = stock_columns()
@@ -218,6 +218,15 @@ def _expiring_documents(inputs: DataFrame, layout: Layout, lifetimes: Lifetimes)
     return rows.withColumn("outcome", F.when(passed, EMITTED).otherwise(SUPPRESSED))
 
 
+def _mark_idle(rows: DataFrame, layout: Layout, lifetime: int | None) -> DataFrame:
+    """``_expired`` where every row renews the timer: one window, however often it falls due."""
+    if lifetime is None:
+        return rows.withColumn("_expired", F.lit(False))
+    rows = running(rows, layout, maxes={"_now": F.col("arrival_ts")}, prior={"_before": "_now"})
+    due = F.unix_micros("_before") + lifetime
+    return rows.withColumn("_expired", F.coalesce(F.unix_micros("arrival_ts") >= due, F.lit(False))).drop("_before")
+
+
 def _mark_expired(
     rows: DataFrame,
     layout: Layout,
