@@ -10,7 +10,6 @@ sum of these out-of-place distances names the language.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,6 @@ _U = np.uint64
 _CHUNK = 1 << 20
 
 
-@lru_cache(maxsize=1)
 def letters() -> np.ndarray:
     """Which code points are letters."""
     return np.array([chr(c).isalpha() for c in range(0x110000)])

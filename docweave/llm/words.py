@@ -29,9 +29,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+#: What ``randoms`` has made; not a cache decorator, which would not travel to executors without the package.
+_MADE: dict[tuple[int, int], np.ndarray] = {}
+
+
 def randoms(n: int, seed: int = 0) -> np.ndarray:
-    """Fixed odd 64-bit numbers."""
-    return mixed(np.arange(n, dtype=_U) + _U(seed << 32)) | _U(1)
+    """Fixed odd 64-bit numbers, not to be changed."""
+    made = _MADE.get((n, seed))
+    if made is None:
+        if len(_MADE) > 200:
+            _MADE.clear()
+        made = _MADE[n, seed] = mixed(np.arange(n, dtype=_U) + _U(seed << 32)) | _U(1)
+    return made
 
 
 def space_separated() -> np.ndarray:
