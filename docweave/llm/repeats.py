@@ -18,6 +18,7 @@ Anchors travel by hash, contexts only where they differ, texts once, to be cut.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,10 @@ from docweave.llm.words import mixed, randoms, text_buffer
 GRAM = 32
 #: Anchors that a task pre-aggregates at once.
 BLOCK_ANCHORS = 1 << 19
-#: Bytes of contexts that an index is built over, about.
-INDEX_BYTES = 1 << 20
+#: Bytes of contexts that an index is built over, about: few enough for a processor's cache.
+INDEX_BYTES = 1 << 18
+#: Contexts of one key are indexed up to this many bytes together, beyond that compared by a shuffle.
+LARGEST_BYTES = 1 << 21
 #: Bytes of a text that are scanned at once.
 _SLICE = 1 << 20
 
@@ -69,13 +72,9 @@ class Documents:
 
     def _contexts(self, words: np.ndarray, place: np.ndarray, right: np.ndarray) -> np.ndarray:
         """A hash of the bytes around each place: ``margin`` before it, ``length`` from it on, zeros beyond the ends."""
-        span = self.margin + self.length
-        factor = randoms(span // 8 + 2, seed=3)
-        left = np.minimum(self.margin, place)
-        total = left.astype(_U) * factor[-1] + right.astype(_U) * factor[-2]
-        for k, at in enumerate([*range(0, span - 7, 8), span - 8]):
-            total += mixed(words[place + at] ^ factor[k]) * factor[k]
-        return mixed(total)
+        factor = randoms(2, seed=3)
+        ends = np.minimum(self.margin, place).astype(_U) * factor[0] + right.astype(_U) * factor[1]
+        return mixed(ends + _strings(words, place, self.margin + self.length))
 
     def classes(self) -> tuple[list[np.ndarray], np.ndarray]:
         """All anchors in the order of gram, context and place, and which are the first of their context."""
@@ -88,6 +87,17 @@ class Documents:
         return columns, first
 
 
+def _strings(words: np.ndarray, place: np.ndarray, size: int, seed: int = 7) -> np.ndarray:
+    """Hashes of the ``size`` bytes from each place; ``words`` has 8 bytes from each."""
+    at = np.array([*range(0, size - 7, 8), size - 8])
+    factor = randoms(len(at), seed)
+    out = np.empty(len(place), _U)
+    for k in range(0, len(place), 1 << 14):
+        some = slice(k, k + (1 << 14))
+        out[some] = (mixed(words[place[some, None] + at] ^ factor) * factor).sum(axis=1)
+    return out
+
+
 def _gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the GRAM bytes from each of the first ``n`` places; ``words`` has 8 bytes from each."""
     a, b = randoms(2, seed=4)
@@ -221,11 +231,18 @@ def _settle(length: int):
     return settle
 
 
-_CONTEXTS = "gram long, id long, twin int, low long, content binary"
+_CONTEXTS = "gram long, id long, twin int, low long, high long, content binary"
 
 
 def _contexts(length: int, shared):
-    """The contexts of anchors that the filter lets through, each once in a block."""
+    """Two sides of each context whose anchor the filter lets through, each once in a block, and spans of the others (``gram`` null).
+
+    A string around an anchor holds the gram and, of what is left, at least half before it or at least half after
+    it. So a context falls into two sides, each keyed by the hash of a longer string that all of
+    its own share, and many contexts that differ have one side in common.
+    """
+    margin = length - GRAM
+    half = margin // 2
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
@@ -233,17 +250,41 @@ def _contexts(length: int, shared):
             columns, first = held.classes()
             keep = np.flatnonzero(first)
             keep = keep[let_through(bits, columns[0][keep].view(np.int64))]
-            gram, _, number, twin, place, right = (c[keep] for c in columns)
-            low = np.maximum(place - held.margin, 0)
-            for at in range(0, len(keep), 1 << 15):
-                s = slice(at, at + (1 << 15))
-                content = [
-                    texts[i, t][a:b].tobytes()
-                    for i, t, a, b in zip(number[s].tolist(), twin[s].tolist(), low[s].tolist(), (place + right)[s].tolist(), strict=True)
-                ]
+            _, _, number, twin, place, right = (c[keep] for c in columns)
+            sides: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+            again = []
+            # Anchors come by gram and context; sides are to be met in the order of documents.
+            order = np.lexsort((place, twin, number))
+            for i, t, p, r in zip(*(c[order].tolist() for c in (number, twin, place, right)), strict=True):
+                text = texts[i, t]
+                # Strings that start at p - half or before, and those that start after that.
+                for side, common, low, high in (
+                    (b"<", p - half, max(0, p - margin), p - half + length),
+                    (b">", p, max(0, p - half + 1), p + r),
+                ):
+                    high = min(high, p + r)
+                    if common < 0 or common + GRAM + half > len(text) or high - low < length:
+                        continue
+                    shown = text[common : common + GRAM + half].tobytes()
+                    key = int.from_bytes(hashlib.blake2b(side + shown, digest_size=8).digest(), "little", signed=True)
+                    content = text[low:high].tobytes()
+                    first_place = sides.setdefault((key, content), (i, t, low))
+                    if first_place != (i, t, low):
+                        again.append((i, t, low, high))
+            spans = _spans(*(np.array([x[j] for x in again], np.int64) for j in range(4)))
+            yield pa.record_batch(
+                [pa.nulls(spans.num_rows, pa.int64()), *spans.columns, pa.nulls(spans.num_rows, pa.binary())], names=[c.split()[0] for c in _CONTEXTS.split(", ")]
+            )
+            rows = list(sides.items())
+            for at in range(0, len(rows), 1 << 15):
+                some = rows[at : at + (1 << 15)]
                 yield pa.record_batch(
-                    [pa.array(gram[s].view(np.int64)), pa.array(number[s]), pa.array(twin[s]), pa.array(low[s]), pa.array(content, pa.binary())],
-                    names=["gram", "id", "twin", "low", "content"],
+                    [
+                        pa.array([k for (k, _), _ in some], pa.int64()),
+                        *(pa.array([w[j] for _, w in some], kind) for j, kind in enumerate((pa.int64(), pa.int32(), pa.int64()))),
+                        pa.nulls(len(some), pa.int64()), pa.array([c for (_, c), _ in some], pa.binary()),
+                    ],
+                    names=[c.split()[0] for c in _CONTEXTS.split(", ")],
                 )
 
     return contexts
@@ -257,23 +298,38 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """
     n = len(text)
     place = np.arange(n)
-    until = ends[np.searchsorted(ends, place)] - place  # letters before the separator
+    until = np.repeat(ends, np.diff(np.append(-1, ends))) - place  # letters before the separator
     padded = np.append(text, np.zeros(8, text.dtype)).astype(np.int64)
     key = np.zeros(n, np.int64)
     for k in range(7):
         key = key << 9 | np.where(k <= until, padded[k : n + k], 0)
     reach = 7
+    order = np.argsort(key)
+    rank = np.empty(n, np.int64)  # of a suffix: where those begin that are equal as far as they are known
+    # What is sorted in a round: suffixes equal to another so far, by where they stand in the order.
+    slot, some, key = place, order, key[order]
     while True:
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        # Suffixes that end within reach differ by their separators, which come in text order.
-        new = np.append(True, (ordered[1:] != ordered[:-1]) | (until[order[1:]] < reach))
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new) - 1
-        if new.all():
+        new = np.append(True, key[1:] != key[:-1])
+        start = np.flatnonzero(new)
+        rank[some] = np.repeat(slot[start], np.diff(np.append(start, len(some))))
+        # Suffixes that end within reach differ by their separators alone, which come in text order.
+        tied = ~(new & np.append(new[1:], True))
+        done = tied & (until[some] < reach)
+        if done.any():
+            which = np.flatnonzero(done)
+            ended = some[which]
+            ended = ended[np.argsort(rank[ended] * (n + 1) + ended)]
+            some[which] = ended
+            order[slot[which]] = ended
+            rank[ended] = slot[which]
+        left = tied & ~done
+        slot, some = slot[left], some[left]
+        if not len(some):
             return order
-        ahead = np.minimum(place + reach, n - 1)
-        key = rank * (n + 1) + np.where(until >= reach, rank[ahead] + 1, 0)
+        key = rank[some] * (n + 1) + rank[some + reach] + 1
+        by = np.argsort(key)
+        some, key = some[by], key[by]
+        order[slot] = some
         reach *= 2
 
 
@@ -348,13 +404,7 @@ def _windows(number: int, twin: int, low: int, content: bytes, length: int) -> p
     """The ``length``-byte strings of a context by place, as 128 bits of hash."""
     n = len(content) - length + 1
     words = np.ndarray(len(content) - 7, np.dtype("<u8"), np.frombuffer(content, np.uint8), 0, (1,))
-    hashes = []
-    for seed in (5, 6):
-        factor = randoms(length // 8 + 1, seed=seed)
-        total = np.zeros(n, _U)
-        for k, at in enumerate([*range(0, length - 7, 8), length - 8]):
-            total += mixed(words[at : at + n] ^ factor[min(k, len(factor) - 1)]) * factor[k % len(factor)]
-        hashes.append(mixed(total).view(np.int64))
+    hashes = [mixed(_strings(words, np.arange(n), length, seed)).view(np.int64) for seed in (5, 6)]
     place = low + np.arange(n)
     return pa.record_batch(
         [pa.array(np.full(n, number)), pa.array(np.full(n, twin, np.int32)), pa.array(place), pa.array(place + length), *map(pa.array, hashes)],
@@ -363,41 +413,52 @@ def _windows(number: int, twin: int, low: int, content: bytes, length: int) -> p
 
 
 def _index(length: int):
-    """Marks of contexts sorted by gram; an index takes the contexts of as many anchors as it has room for.
+    """Marks of context sides sorted by key and content; an index takes the sides of as many keys as it has room for.
 
-    The contexts of one anchor that alone are more than that are not held: their strings
-    go on by hash, to be compared by a shuffle.
+    Of equal sides the first stands for all, the others are repeats. The sides of one key that alone
+    are more than an index has room for are not held: their strings go on by hash, to be
+    compared by a shuffle.
     """
+    names = [c.split()[0] for c in _MARKS.split(", ")]
+
+    def with_hashes(spans: pa.RecordBatch) -> pa.RecordBatch:
+        none = pa.nulls(spans.num_rows, pa.int64())
+        return pa.record_batch([*spans.columns, none, none], names=names)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready, size = [], 0
-        group, gram, weight = [], None, 0
-
-        def marks() -> pa.RecordBatch:
-            spans = _marks(ready, length)
-            none = pa.nulls(spans.num_rows, pa.int64())
-            return pa.record_batch([*spans.columns, none, none], names=[c.split()[0] for c in _MARKS.split(", ")])
-
+        group, gram, weight, last = [], None, 0, None
         for batch in batches:
-            for g, *row in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+            told = batch.filter(batch.column("gram").is_null())
+            yield with_hashes(told.select(["id", "twin", "low", "high"]))
+            batch = batch.filter(batch.column("gram").is_valid())
+            again = []
+            columns = (batch.column(c).to_pylist() for c in ("gram", "id", "twin", "low", "content"))
+            for g, i, t, low, content in zip(*columns, strict=True):
                 if g != gram:
                     if len(group) > 1:
                         ready += group
                         size += weight
-                    group, gram, weight = [], g, 0
+                    group, gram, weight, last = [], g, 0, None
                     if size >= INDEX_BYTES:
-                        yield marks()
+                        yield with_hashes(_marks(ready, length))
                         ready, size = [], 0
-                weight += len(row[3])
-                group.append(tuple(row))
-                if weight > INDEX_BYTES:
+                if last is not None and content == last[3]:
+                    if (i, t, low) != last[:3]:
+                        again.append((i, t, low, low + len(content)))
+                    continue
+                last = (i, t, low, content)
+                weight += len(content)
+                group.append(last)
+                if weight > LARGEST_BYTES:
                     for other in group:
                         yield _windows(*other, length)
                     group = []
+            yield with_hashes(_spans(*(np.array([x[j] for x in again], np.int64) for j in range(4))))
         if len(group) > 1:
             ready += group
         if ready:
-            yield marks()
+            yield with_hashes(_marks(ready, length))
 
     return index
 
@@ -423,7 +484,8 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     shared = spark.sparkContext.broadcast(bitmap(several).tobytes())
     contexts = texts.mapInArrow(_contexts(length, shared), _CONTEXTS)
     marks = stored(
-        contexts.repartition(parts, "gram").sortWithinPartitions("gram", "id", "twin", "low").mapInArrow(_index(length), _MARKS)
+        contexts.repartition(parts, F.coalesce("gram", F.xxhash64("id", "twin", "low")))
+        .sortWithinPartitions("gram", "content", "id", "twin", "low").mapInArrow(_index(length), _MARKS)
     )
     strings, place, hashes = marks.filter("hash_a IS NOT NULL"), F.struct("id", "twin", "low"), ["hash_a", "hash_b"]
     first = strings.groupBy(*hashes).agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first != last").drop("last")

@@ -90,9 +90,9 @@ def pairs(prose):
     return out
 
 
-@pytest.mark.parametrize("blocks", [(1 << 19, 1 << 20, 1 << 20), (40, 900, 150)])
+@pytest.mark.parametrize("blocks", [(1 << 19, 1 << 18, 1 << 20, 1 << 21), (40, 900, 150, 900), (40, 900, 150, 1 << 20)])
 def test_against_brute_force(documents, pairs, monkeypatch, blocks):
-    for name, value in zip(("BLOCK_ANCHORS", "INDEX_BYTES", "_SLICE"), blocks, strict=True):
+    for name, value in zip(("BLOCK_ANCHORS", "INDEX_BYTES", "_SLICE", "LARGEST_BYTES"), blocks, strict=True):
         monkeypatch.setattr(repeats, name, value)
     assert result(without_repeats(documents(pairs).repartition(5))) == brute(pairs)
 
