@@ -89,19 +89,19 @@ class Index:
             return set()
         first = np.cumsum(steps) - steps
         begin = np.repeat(bounds[:-1] - first * _STEP, steps) + np.arange(total) * _STEP
-        minima = np.empty((len(self.factors), total), np.uint64)
-        for k, factor in enumerate(self.factors):
-            minima[k] = np.minimum.reduceat(values * factor, begin)
-        found: set[tuple[int, int]] = set()
+        # Where the strides of each partition begin among the steps, their rows, and which have another of the row after them.
+        strides = []
         for stride, items, least in self.partitions:
             runs = -(-steps // stride)
-            n = int(runs.sum())
             start = np.cumsum(runs) - runs
-            at = np.repeat(first - start * stride, runs) + np.arange(n) * stride
+            at = np.repeat(first - start * stride, runs) + np.arange(int(runs.sum())) * stride
             row = np.repeat(np.arange(len(runs)), runs)
-            follows = np.append(row[1:] == row[:-1], False)
-            for k in range(len(self.factors)):
-                run = np.minimum.reduceat(minima[k], at)
+            strides.append((items, least, at, row, np.append(row[1:] == row[:-1], False)))
+        found: set[tuple[int, int]] = set()
+        for k, factor in enumerate(self.factors):
+            minima = np.minimum.reduceat(values * factor, begin)
+            for items, least, at, row, follows in strides:
+                run = np.minimum.reduceat(minima, at)
                 window = np.where(follows, np.minimum(run, np.append(run[1:], run[-1:])), run)
                 left = np.searchsorted(least[k], window)
                 hit = np.flatnonzero(least[k][np.minimum(left, len(items[k]) - 1)] == window)
