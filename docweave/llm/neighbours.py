@@ -35,7 +35,7 @@ SAMPLE = 1 << 14
 CELL_ROWS, MAX_CELLS = 512, 4096
 #: Rows of a block, about: what a task holds at once.
 BLOCK_ROWS = 1024
-LEAF_ROWS = 32
+LEAF_ROWS = 128
 #: Rounding of projected distances.
 _NEAR = 1e-9
 
@@ -67,6 +67,7 @@ class Tree:
         self.splits: list[tuple[int, float] | None] = []
         if len(points):
             self._build(np.arange(len(points)), leaf_rows)
+            self.low, self.high = (np.array(side) for side in zip(*self.boxes, strict=True))
 
     def _build(self, rows: np.ndarray, leaf_rows: int) -> int:
         here = len(self.nodes)
@@ -88,22 +89,25 @@ class Tree:
         self.nodes[here] = (self._build(rows[left], leaf_rows), self._build(rows[~left], leaf_rows))
         return here
 
-    def distance(self, node: int, point: np.ndarray) -> float:
-        low, high = self.boxes[node]
-        away = np.maximum(np.maximum(low - point, point - high), 0)
-        return float(away @ away)
+    def distances(self, point: np.ndarray) -> list[float]:
+        """Squared distances of a point to the boxes of all nodes."""
+        away = np.maximum(np.maximum(self.low - point, point - self.high), 0)
+        return (away * away).sum(axis=1).tolist()
 
-    def incremental(self, point: np.ndarray) -> Iterator[tuple[float, np.ndarray | None]]:
+    def incremental(self, point: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
         """Leaves in order of their boxes' squared distance: (distance, rows)."""
-        heap = [(self.distance(0, point), 0)] if self.nodes else []
+        if not self.nodes:
+            return
+        away = self.distances(point)
+        heap = [(away[0], 0)]
         while heap:
-            away, node = heapq.heappop(heap)
+            distance, node = heapq.heappop(heap)
             found = self.nodes[node]
             if isinstance(found, tuple):
                 for child in found:
-                    heapq.heappush(heap, (self.distance(child, point), child))
+                    heapq.heappush(heap, (away[child], child))
             else:
-                yield away, found
+                yield distance, found
 
     def cells(self, points: np.ndarray) -> np.ndarray:
         """The leaf that each point falls to, numbered from 0."""
@@ -155,15 +159,17 @@ class Search:
                 break
             apart = self.points[leaf] - point
             leaf = leaf[((apart * apart).sum(axis=1) <= limit) & (self.ids[leaf] != own)]
-            if not len(leaf):
+            found = (self.unit[leaf] * unit).sum(axis=1)
+            # What is behind the k best so far cannot be among them; equal ones may be, by their ids.
+            good = found >= worst
+            if not good.any():
                 continue
-            rows = np.append(rows, leaf)
-            scores = np.append(scores, (self.unit[leaf] * unit).sum(axis=1))
-            if len(rows) > self.k:
+            rows, scores = np.append(rows, leaf[good]), np.append(scores, found[good])
+            if len(rows) >= self.k:
                 order = np.lexsort((self.ids[rows], -scores))[: self.k]
                 rows, scores = rows[order], scores[order]
-            if len(rows) == self.k:
-                limit = min(limit, self._limit(float(scores.min())))
+                worst = max(worst, float(scores[-1]))
+                limit = min(limit, self._limit(worst))
         return rows, scores
 
     def _limit(self, cosine: float) -> float:
