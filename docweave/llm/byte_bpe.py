@@ -19,12 +19,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType
 
+from docweave.llm.tables import bounded_batches
+
 _NEVER = np.int64(1) << np.int64(62)
 #: A single space between two characters that are no white space always begins a piece.
 _BETWEEN = re.compile(r" (?<=\S )(?=\S)")
 _ODD = re.compile(r" \s|\s ")
 #: Words whose ids a task remembers, each of at most _LONGEST characters.
-_REMEMBERED, _LONGEST = 1 << 19, 48
+_REMEMBERED, _LONGEST = 1 << 18, 48
 #: Characters of a text that are taken at once, up to the next such space.
 _AT_ONCE = 1 << 20
 #: Pieces whose trees are worked on side by side.
@@ -195,6 +197,7 @@ class Encoder:
 
 
 def _rank_file(spark: SparkSession, path: str):
+    bounded_batches(spark)
     with open(path, "rb") as file:
         data = file.read(MAX_RANK_BYTES + 1)
     if len(data) > MAX_RANK_BYTES:

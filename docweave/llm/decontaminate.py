@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.tables import doc_id, identity, stored
+from docweave.llm.tables import bounded_batches, doc_id, identity, stored
 from docweave.llm.words import all_shingles, distinct, letters_and_digits, randoms, words
 
 #: Largest item over smallest in a partition.
@@ -51,6 +51,7 @@ def _item_sets(size: int):
 
 def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, np.ndarray]]]:
     """The items with at least one shingle, a bounded number of shingles at a time."""
+    bounded_batches(items.sparkSession)
     sets = stored(
         items.select("item_id", "text").mapInArrow(_item_sets(size), "item_id long, members array<long>")
         .filter(F.size("members") > 0)

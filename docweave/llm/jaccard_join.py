@@ -36,12 +36,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.filters import bitmap, let_through
-from docweave.llm.tables import components, doc_id, identity, stored
+from docweave.llm.tables import bounded_batches, components, doc_id, identity, stored
 from docweave.llm.words import distinct, mixed, shingles, space_separated, words
 from docweave.operators.running import checkpointed
 
 #: Shingles of the corpus counted together when looking for frequent ones.
-BLOCK_SHINGLES = 1 << 22
+BLOCK_SHINGLES = 1 << 21
 #: Frequent shingles that are put last, at most; a bound on the broadcast (16 bytes each), not on the result.
 FREQUENT = 1 << 19
 #: Tasks over which the cells of a frequent shingle are dealt.
@@ -268,7 +268,7 @@ def jaccard_classes(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
     (``a``, ``b``, ``overlap``): pairs of keys whose similarity reaches ``threshold``, enough
     of them that their components are those of all such pairs.
     """
-    spark = docs.sparkSession
+    spark = bounded_batches(docs.sparkSession)
     t = threshold
     texts = docs.select(*identity(), "text")
     scanned = stored(texts.mapInArrow(_scan(size), "id long, twin int, key long, n long, is_shingle boolean"))

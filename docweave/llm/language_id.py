@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docweave.llm.tables import bounded_batches
+
 
 #: N-grams of a profile, and of a document's own list.
 PROFILE = 300
@@ -100,6 +102,7 @@ def learn_profiles(labelled: DataFrame, documents: int = LEARN_DOCUMENTS) -> dic
     Rows without a text or language are left out. About ``documents`` rows are used, chosen by a
     hash of the id and text. Ties go to the smaller n-gram number.
     """
+    bounded_batches(labelled.sparkSession)
     usable = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     total = usable.count()
     if total > documents:
@@ -164,7 +167,7 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]]) -> DataFrame:
     languages at the same distance the first by name is taken. Only the text counts.
     """
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)
+    shared = bounded_batches(docs.sparkSession).sparkContext.broadcast(profiles)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Profiles(shared.value)
@@ -186,7 +189,7 @@ def held_out() -> Column:
 
 def in_known_language(docs: DataFrame, profiles: dict[str, list[int]]) -> DataFrame:
     """``docs`` without those whose language cannot be told (``und``); all columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(profiles)
+    shared = bounded_batches(docs.sparkSession).sparkContext.broadcast(profiles)
     at = docs.schema.fieldNames().index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

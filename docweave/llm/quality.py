@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docweave.llm.tables import bounded_batches
 from docweave.llm.words import letters_and_digits, mixed, words
 
 BUCKETS = 1 << 18
@@ -125,6 +126,7 @@ def learn(docs: DataFrame, ratings: DataFrame, documents: int = FIT_DOCUMENTS) -
     About ``documents`` of the rated ids are used, chosen by hash. A null id, grade or text is left out; of
     several ratings of an id the lowest counts. None if nothing is rated or all alike.
     """
+    bounded_batches(docs.sparkSession)
     rated = ratings.filter(F.col("doc_id").isNotNull() & F.col("grade").isNotNull()).groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
     counts = {r["grade"]: r["n"] for r in rated.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).orderBy("grade").limit(100).collect()}
     if len(counts) < 2:
@@ -164,7 +166,7 @@ def rate(docs: DataFrame, model: Model | None, target: int | None = None, least:
     if model is None:
         none = F.lit(None).cast("double")
         return docs.select(*kept, none.alias("expected_grade"), none.alias("tail_prob"), F.lit(True).alias("keep"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = bounded_batches(docs.sparkSession).sparkContext.broadcast(model)
     level = (len(model.thresholds) if target is None else target) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

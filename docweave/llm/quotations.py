@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.tables import stored
+from docweave.llm.tables import bounded_batches, stored
 from docweave.operators.running import checkpointed
 
 _MARKS = re.compile(r"[ \t]*(?:>[ \t]*)+")
@@ -88,7 +88,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     turn counting on ties; repeated rows are returned as often as they occur. A passage that
     nobody said before stays unlinked. No rows give no rows.
     """
-    spark = messages.sparkSession
+    spark = bounded_batches(messages.sparkSession)
     said = messages.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string"))
     parsed = stored(said.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(_parsed, _PARSED))
     placed = parsed.filter("conv_id IS NOT NULL AND turn IS NOT NULL")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.filters import bitmap, let_through
-from docweave.llm.tables import doc_id, identity, stored
+from docweave.llm.tables import bounded_batches, doc_id, identity, stored
 from docweave.llm.words import mixed, randoms, text_buffer
 
 GRAM = 32
@@ -470,7 +470,7 @@ def repeated_spans(docs: DataFrame, length: int = 100) -> DataFrame:
     """
     if length <= GRAM:
         raise ValueError(f"length must be above {GRAM}")
-    spark = docs.sparkSession
+    spark = bounded_batches(docs.sparkSession)
     texts = docs.select(*identity(), "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     scanned = texts.mapInArrow(_scan(length), _CLASSES)

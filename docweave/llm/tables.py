@@ -28,6 +28,19 @@ def doc_id(name: str = "id") -> Column:
     return F.when(F.col(name) != NO_ID, F.col(name)).alias("doc_id")
 
 
+#: Bytes of rows that travel between Spark and Python at once, about.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Lowers the session's Arrow batches to BATCH_BYTES: rows of long texts else make very large ones."""
+    now = spark.conf.get(_BATCH)
+    if not now.rstrip("bB").isdigit() or int(now.rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors see."""
     set_checkpoint_folder(spark)

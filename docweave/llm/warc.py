@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm.tables import shared_folder, stored
+from docweave.llm.tables import bounded_batches, shared_folder, stored
 
 MAGIC = b"\x1f\x8b\x08"
 #: Payloads of fewer bytes are always written out.
@@ -119,7 +119,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, date: str = "1970-01
 
     Files of lost or repeated tasks are never listed, so what the list names holds each record once.
     """
-    spark = pages.sparkSession
+    spark = bounded_batches(pages.sparkSession)
     folder = folder or shared_folder(spark)
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     records = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
