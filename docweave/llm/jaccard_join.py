@@ -78,7 +78,7 @@ def _scan(size: int):
             block, held, known = [], 0, set()
             none = pa.nulls(n, pa.int64())
             return pa.record_batch(
-                [none, pa.nulls(n, pa.int32()), pa.array(values[first[often]].view(np.int64)), pa.array(counts[often]), pa.array(np.ones(n, bool))],
+                [none, none, pa.array(values[first[often]].view(np.int64)), pa.array(counts[often]), pa.array(np.ones(n, bool))],
                 names=["id", "twin", "key", "n", "is_shingle"],
             )
 
@@ -271,7 +271,7 @@ def jaccard_classes(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
     spark = bounded_batches(docs.sparkSession)
     t = threshold
     texts = docs.select(*identity(), "text")
-    scanned = stored(texts.mapInArrow(_scan(size), "id long, twin int, key long, n long, is_shingle boolean"))
+    scanned = stored(texts.mapInArrow(_scan(size), "id long, twin long, key long, n long, is_shingle boolean"))
     rows = scanned.filter(~F.col("is_shingle")).drop("is_shingle")
 
     frequent = (

@@ -65,7 +65,7 @@ class Documents:
             place, gram = _anchors(words[self.margin :], at, to, n - GRAM + 1, self.margin + 1)
             right = np.minimum(self.length, n - place)
             context = self._contexts(words, place, right)
-            columns = (gram, context, np.full(len(place), number), np.full(len(place), twin, np.int32), place.astype(np.int64), right.astype(np.int32))
+            columns = (gram, context, np.full(len(place), number), np.full(len(place), twin), place.astype(np.int64), right.astype(np.int32))
             for held, column in zip(self.columns, columns, strict=True):
                 held.append(column)
             self.count += len(place)
@@ -141,7 +141,7 @@ def _spans(number: np.ndarray, twin: np.ndarray, low: np.ndarray, high: np.ndarr
         first = np.flatnonzero(new)
         number, twin, low, high = number[first], twin[first], low[first], np.maximum.reduceat(high, first)
     return pa.record_batch(
-        [pa.array(number, pa.int64()), pa.array(twin, pa.int32()), pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["id", "twin", "low", "high"]
+        [pa.array(number, pa.int64()), pa.array(twin, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int64())], names=["id", "twin", "low", "high"]
     )
 
 
@@ -165,7 +165,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[Do
         yield held, texts
 
 
-_CLASSES = "gram long, context long, id long, twin int, place long, right int, low long, high long"
+_CLASSES = "gram long, context long, id long, twin long, place long, right int, low long, high long"
 
 
 def _scan(length: int):
@@ -226,12 +226,12 @@ def _settle(length: int):
             yield _as_classes(_spans(number[again], twin[again], np.maximum(place[again] - margin, 0), place[again] + right[again]))
             n = len(mixed_grams)
             none, short = pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())
-            yield pa.record_batch([pa.array(mixed_grams), none, none, short, none, short, none, none], names=[c.split()[0] for c in _CLASSES.split(", ")])
+            yield pa.record_batch([pa.array(mixed_grams), none, none, none, none, short, none, none], names=[c.split()[0] for c in _CLASSES.split(", ")])
 
     return settle
 
 
-_CONTEXTS = "gram long, id long, twin int, low long, high long, content binary"
+_CONTEXTS = "gram long, id long, twin long, low long, high long, content binary"
 
 
 def _contexts(length: int, shared):
@@ -281,7 +281,7 @@ def _contexts(length: int, shared):
                 yield pa.record_batch(
                     [
                         pa.array([k for (k, _), _ in some], pa.int64()),
-                        *(pa.array([w[j] for _, w in some], kind) for j, kind in enumerate((pa.int64(), pa.int32(), pa.int64()))),
+                        *(pa.array([w[j] for _, w in some], pa.int64()) for j in range(3)),
                         pa.nulls(len(some), pa.int64()), pa.array([c for (_, c), _ in some], pa.binary()),
                     ],
                     names=[c.split()[0] for c in _CONTEXTS.split(", ")],
@@ -394,10 +394,10 @@ def _marks(rows: list[tuple[int, int, int, bytes]], length: int) -> pa.RecordBat
     group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(some))))
     # One place may show in contexts of two anchors: it is no earlier than itself.
     later = (document != document[first][group]) | (offset != offset[first][group])
-    return _spans(number[row[later]], twin[row[later]].astype(np.int32), offset[later], offset[later] + length)
+    return _spans(number[row[later]], twin[row[later]], offset[later], offset[later] + length)
 
 
-_MARKS = "id long, twin int, low long, high long, hash_a long, hash_b long"
+_MARKS = "id long, twin long, low long, high long, hash_a long, hash_b long"
 
 
 def _windows(number: int, twin: int, low: int, content: bytes, length: int) -> pa.RecordBatch:
@@ -407,7 +407,7 @@ def _windows(number: int, twin: int, low: int, content: bytes, length: int) -> p
     hashes = [mixed(_strings(words, np.arange(n), length, seed)).view(np.int64) for seed in (5, 6)]
     place = low + np.arange(n)
     return pa.record_batch(
-        [pa.array(np.full(n, number)), pa.array(np.full(n, twin, np.int32)), pa.array(place), pa.array(place + length), *map(pa.array, hashes)],
+        [pa.array(np.full(n, number)), pa.array(np.full(n, twin)), pa.array(place), pa.array(place + length), *map(pa.array, hashes)],
         names=[c.split()[0] for c in _MARKS.split(", ")],
     )
 

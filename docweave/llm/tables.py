@@ -17,10 +17,10 @@ NO_ID = 2**63 - 1
 def identity() -> list[Column]:
     """``id`` and ``twin``, never null, which tell documents apart.
 
-    ``twin`` is a hash of the text: rows of one ``doc_id`` with other texts are other
+    ``twin`` is a 64-bit hash of the text: rows of one ``doc_id`` with other texts are other
     documents, rows alike in both are one document that occurs more than once.
     """
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.hash("text").alias("twin")]
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("twin")]
 
 
 def doc_id(name: str = "id") -> Column:

@@ -15,6 +15,16 @@ def prose():
     return make
 
 
+@pytest.fixture(scope="session")
+def collide(spark):
+    """Two different words that keep equal 32-bit hashes of texts as long as the same follows both."""
+    pair = ("ihgihaoncleppbal", "lgfgckmjghpnmeaj")
+    for rest in ("", "\nsame text"):
+        hashes = [r[0] for r in spark.createDataFrame([(x + rest,) for x in pair], "text string").selectExpr("hash(text)").collect()]
+        assert hashes[0] == hashes[1]
+    return pair
+
+
 @pytest.fixture(scope="session")
 def documents(spark):
     """A documents table of (doc_id, text) pairs, with columns whose names clash with internal ones."""

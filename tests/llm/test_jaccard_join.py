@@ -99,6 +99,12 @@ def test_one_of_each(documents, hard):
     assert sorted(r.doc_id for r in kept.collect() if not shingle_set(r.text)) == [500, 501, 502]
 
 
+def test_other_texts_under_one_id_with_equal_short_hashes(documents, collide):
+    pairs = [(i, word) for i in (None, 4) for word in collide]
+    kept = one_of_each(documents(pairs)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(4, word) for word in sorted(collide)]
+
+
 def test_no_rows(documents):
     assert rows(jaccard_join(documents([]))) == []
     assert one_of_each(documents([])).count() == 0

@@ -54,6 +54,16 @@ def test_repeated_rows_null_ids_and_no_rows(documents):
     assert line_dedup(documents([])).count() == 0
 
 
+def test_other_texts_under_one_id_with_equal_short_hashes(documents, collide):
+    pairs = [(i, f"{word}\na\nb\nc") for i in (None, 4) for word in collide]
+    got = [(r.doc_id, r.n_removed, r.text) for r in line_dedup(documents(pairs)).collect()]
+    whole = [t for d, n, t in got if not n]
+    assert len(whole) == 1 and whole[0] in [t for _, t in pairs]
+    # The later ones of the same words are gone as a whole, the first of the other word keeps that.
+    other = next(w for w in collide if w not in whole[0])
+    assert sorted(((d, t) for d, n, t in got if n), key=str) == sorted([(4, other), (None, ""), (None, "")], key=str)
+
+
 def test_stage_keeps_columns_and_clean_documents(documents):
     pairs = [(1, "a\nb\nc"), (2, "a\nb\nc"), (3, "x\na\nb\nc"), (4, ""), (5, None), (6, "clean")]
     docs = documents(pairs).withColumnRenamed("key", "n_lines").withColumnRenamed("id", "n_removed")

@@ -113,6 +113,16 @@ def test_repeated_rows_null_ids_and_no_rows(documents, prose):
     assert result(without_repeats(documents([(1, None)]))) == [(1, 0, 0, 0, b"")]
 
 
+@pytest.mark.parametrize("number", [None, 4])
+def test_other_texts_under_one_id_with_equal_short_hashes(documents, prose, collide, number):
+    rest = "|" + prose(random.Random(2), 60)
+    pairs = [(number, word + rest) for word in collide]
+    for docs in (documents(pairs).coalesce(1), documents(pairs).repartition(4)):
+        got = sorted((n_removed, kept) for _, _, n_removed, _, kept in result(without_repeats(docs)))
+        assert got[0][0] == 0 and got[1][0] == len(rest)
+        assert {got[0][1].decode(), got[1][1].decode() + rest} == {word + rest for word in collide}
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     pairs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
