@@ -17,7 +17,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from docweave.llm.tables import bounded_batches, shared_folder, stored
 
 MAGIC = b"\x1f\x8b\x08"
+_VERSION = b"WARC/1."
 #: Payloads of fewer bytes are always written out.
 LEAST_REVISITED = 1000
 #: An archive is closed when it has this many bytes.
@@ -57,7 +58,7 @@ def _member(record: bytes) -> bytes:
         pack = zlib.compressobj(level, zlib.DEFLATED, 31)
         data = pack.compress(record) + pack.flush()
         at = data.find(MAGIC, 1)
-        while at >= 0 and _header(data[at:]) is None:
+        while at >= 0 and _header(lambda here, at=at: data[at + here : at + here + _STEP]) is None:
             at = data.find(MAGIC, at + 1)
         if at < 0:
             return data
@@ -70,17 +71,30 @@ def _member(record: bytes) -> bytes:
     return bytes(out + pack.flush())
 
 
-def _header(data: bytes) -> dict[str, str] | None:
-    """The WARC header that a gzip member starting here decodes to, or None."""
-    unpack = zlib.decompressobj(31)
+def _header(part: Callable[[int], bytes]) -> dict[str, str] | None:
+    """The WARC header that a gzip member decodes to, however long it is, or None.
+
+    ``part`` gives some of the member's bytes from a place in it on, none beyond the end of the data.
+    """
+    unpack, start, here, data = zlib.decompressobj(31), bytearray(), 0, b""
     try:
-        start = unpack.decompress(data, _STEP)
+        while not unpack.eof:
+            if not data:
+                data = part(here)
+                here += len(data)
+                if not data:
+                    return None
+            seen = max(0, len(start) - 3)
+            start += unpack.decompress(data, _STEP)
+            data = unpack.unconsumed_tail
+            if not start.startswith(_VERSION[: len(start)]):
+                return None
+            end = start.find(b"\r\n\r\n", seen)
+            if end >= 0:
+                return _fields(start[:end]) if start.startswith(_VERSION) else None
     except zlib.error:
-        return None
-    end = start.find(b"\r\n\r\n")
-    if not start.startswith(b"WARC/1.") or end < 0:
-        return None
-    return _fields(start[:end])
+        pass
+    return None
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -179,6 +193,10 @@ class _Range:
             self.file.seek(have)
             self.data += self.file.read(end - have)
 
+    def part(self, at: int, size: int) -> bytes:
+        self.upto(at + size)
+        return bytes(self.data[at - self.start : at - self.start + size])
+
 
 def _whole(window: _Range, at: int) -> tuple[bytes, int] | None:
     """The content of the member at this offset and the offset after it, or None if there is no whole member."""
@@ -206,8 +224,7 @@ def _records(file, path: str, start: int, end: int, size: int) -> Iterator[tuple
         if found < 0:
             return
         at = start + found
-        window.upto(at + _STEP)
-        fields = _header(bytes(window.data[found : found + _STEP]))
+        fields = _header(lambda here, at=at: window.part(at + here, _STEP))
         whole = _whole(window, at) if fields is not None else None
         if whole is None:
             at += 1

@@ -82,6 +82,36 @@ def test_archives_in_payloads_and_rubbish_between_members(tmp_path):
         assert all(f[6] == payload for f in found)
 
 
+def test_very_long_urls(spark):
+    rng = random.Random(3)
+    mixed = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789%", k=200_000))
+    urls = ["http://h/" + "a" * 70_000, "http://h/" + "é" * 12_000, "http://h/" + mixed, "http://h/" + "a" * 65_000, "short"]
+    pages = [(i, url, f"page {i} " * 300) for i, url in enumerate(urls)]
+    pages += [(10 + i, url, "the same " * 300) for i, url in enumerate(urls)]
+    archives = write_warc(frame(spark, pages))
+    for range_bytes in (5_000, 4 << 20):
+        records = read_warc(spark, archives, range_bytes)
+        assert result(records) == brute(pages)
+        got = {(r.p, r.target_uri) for r in records.select(page_number("record_id").alias("p"), "target_uri").collect()}
+        assert got == {(p, url) for p, url, _ in pages}
+
+
+def test_archives_in_payloads_whose_header_is_very_long(tmp_path):
+    rng = random.Random(4)
+    url = "u" * 90_000 + "".join(rng.choices("abcdefghijklmnop", k=100_000))
+    inner = warc._member(b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: " + url.encode() + b"\r\nContent-Length: 1\r\n\r\nx\r\n\r\n")
+    payload = rng.randbytes(70_000) + inner + rng.randbytes(70_000)
+    data = warc._member(warc._record(1, "u", payload, hashlib.sha1(payload).hexdigest(), None, "d"))
+    assert inner not in data
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(data)
+    found = []
+    for start in range(0, len(data), 1000):
+        with open(path, "rb") as file:
+            found += warc._records(file, "a", start, min(start + 1000, len(data)), len(data))
+    assert [(f[0], f[6]) for f in found] == [("<urn:x-page:1>", payload)]
+
+
 def test_no_pages(spark):
     archives = write_warc(frame(spark, []))
     assert archives.count() == 0
