@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from docweave.llm.quotations import link_quotations, normal_hash, parse
@@ -90,6 +91,97 @@ def test_random_conversations_with_a_hot_one(spark, prose):
     assert sorted((r.conv_id, r.turn, r.reply_to, r.n_quoted, r.n_linked, r.content, r.thread, r.depth) for r in got) == brute(rows)
 
 
+def norm(text):
+    return " ".join(text.split()).casefold()
+
+
+def read(text):
+    """Own text, quotations as {(level, passage): line lists}, and what the message said; written apart from ``parse``."""
+    rows = []
+    for line in text.splitlines():
+        level, rest = 0, line
+        while rest.lstrip(" \t").startswith(">"):
+            level, rest = level + 1, rest.lstrip(" \t")[1:]
+        rows.append((level, rest.lstrip(" \t") if level else rest))
+    names = []
+    for (level, line), (after, _) in itertools.zip_longest(rows, rows[1:], fillvalue=(0, "")):
+        names.append(after > level and line.rstrip().endswith(":") and norm(line.rstrip()[:-1]) != "")
+    own = [line for (level, line), name in zip(rows, names, strict=True) if level == 0 and not name]
+    said = {norm("\n".join(own)), *map(norm, own)}
+    said |= {norm(" ".join(g)) for blank, g in itertools.groupby(own, lambda line: not line.strip()) if not blank}
+    quotes = {}
+    for level, group in itertools.groupby(zip(rows, names, strict=True), lambda r: r[0][0] if r[0][1].strip() else None):
+        group = list(group)
+        if level == 0:
+            said.add(norm(" ".join(line for (_, line), name in group if not name)))
+        elif level:
+            lines = [norm(line) for (_, line), name in group if not name]
+            quotes.setdefault((level, norm(" ".join(line for (_, line), _ in group))), []).append(lines)
+    return "\n".join(own).strip(), quotes, said - {""}
+
+
+def brute_apart(rows):
+    messages = {(c, t): read(x) for c, t, _, x in rows}
+    out = []
+    for (c, t), (own, quotes, _) in messages.items():
+        links = []
+        before = [(u, messages[c, u][2]) for d, u in sorted(messages) if d == c and u < t]
+        for (level, passage), variants in quotes.items():
+            whole = [u for u, said in before if passage in said]
+            lined = [u for u, said in before if any(v and set(v) <= said for v in variants)]
+            if whole or lined:
+                links.append((level, -(whole or lined)[0]))
+        out.append((c, t, -min(links)[1] if links else (t - 1 if (c, t - 1) in messages else None), len(quotes), len(links), own))
+    return sorted(out, key=str)
+
+
+def test_answers_between_quotations(spark):
+    first = "> q1\na1\na2\n> q2\nb1"
+    rows = [
+        (1, 0, "user", first),
+        (1, 1, "user", "between"),
+        (1, 2, "user", "> a1\n> a2\nyes"),
+        (1, 3, "user", "\n".join("> " + line for line in first.split("\n")) + "\nall of it"),
+        (2, 0, "user", "l1\nl2\nl3"),
+        (2, 1, "user", "between"),
+        (2, 2, "user", "> l2\n> l3\nthe end of a paragraph"),
+        (2, 3, "user", "> l3\n> never said\nonly one line was said"),
+        (3, 0, "user", "l1"),
+        (3, 1, "user", "l2"),
+        (3, 2, "user", "l1\nl2\nl3"),
+        (3, 3, "user", "between"),
+        (3, 4, "user", "> l1\n> l2\nof the one that has both"),
+        (3, 5, "user", "> l1\n> l2\n> Ann wrote:\n>> never said\nwith the line that announces"),
+    ]
+    got = {(r.conv_id, r.turn): (r.reply_to, r.n_quoted, r.n_linked) for r in run(spark, rows).collect()}
+    assert got[1, 2] == (0, 1, 1) and got[1, 3] == (0, 4, 2)
+    assert got[2, 2] == (0, 1, 1) and got[2, 3] == (2, 1, 0)
+    assert got[3, 4] == (2, 1, 1) and got[3, 5] == (2, 2, 1)
+    assert sorted(((*k, *v) for k, v in got.items())) == sorted(r[:5] for r in brute_apart(rows))
+
+
+def test_random_answers_between_quotations(spark):
+    rng = random.Random(9)
+    rows, texts = [], {}
+    for c in [rng.randrange(30) for _ in range(400)]:
+        mine = texts.setdefault(c, [])
+        lines = []
+        for _ in range(rng.randint(0, 3)):
+            if mine and rng.random() < 0.8:
+                quoted = rng.choice(mine).split("\n")
+                start = rng.randrange(len(quoted))
+                stop = rng.choice([len(quoted), start + rng.randint(1, 3)])
+                if rng.random() < 0.3:
+                    lines.append(rng.choice(["Ann wrote:", ":", "On Monday: "]))
+                lines += [">" * rng.randint(1, 2) + " " + line for line in quoted[rng.choice([0, start]) : stop]]
+            lines += [rng.choice([f"w{rng.randrange(12)}", f"Own {rng.randrange(400)}", "", "note:"]) for _ in range(rng.randint(0, 4))]
+        mine.append("\n".join(lines))
+        rows.append((c, len(mine) - 1, "user", mine[-1]))
+    got = sorted(((r.conv_id, r.turn, r.reply_to, r.n_quoted, r.n_linked, r.content) for r in run(spark, rows).collect()), key=str)
+    assert got == brute_apart(rows)
+    assert sum(r[4] for r in got) > 100
+
+
 def test_no_rows(spark):
     assert run(spark, []).count() == 0
 
