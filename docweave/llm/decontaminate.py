@@ -5,10 +5,17 @@ Test items are partitioned by the size of their shingle sets, each partition rea
 document is searched as windows of two strides, a stride being 1.25 u shingles, so that a
 passage of an item's length lies whole in some window and window and item sizes are in a
 known proportion. A containment of ``t`` in a window then means a Jaccard similarity of at
-least ``t l / (w + (1 - t) l)``, l being the smallest item and w the window: about 0.2 for
+least ``t l / (w + (1 - t) l)``, l being the smallest item and w the window: at least 0.21 for
 t = 0.8. Window and item are a candidate pair if any of ``PERMUTATIONS`` MinHash values
-agree, which misses such a pair with a chance of about one in 100 000. Each candidate is
-verified by counting the item's shingles in the document's whole set.
+agree, which misses such a pair with a chance of at most about one in 100 000, whatever the
+item's size. Each candidate is verified by counting the item's shingles in the document's whole set.
+
+Strides are multiples of a unit of 1, 2, 4 or 8 shingles, whose minima are shared by partitions.
+Rounding never takes a window beyond ``2.5 RATIO`` times the smallest item: a partition ends where
+it would, and if that leaves out its smallest size, the unit is a smaller one. By that bound (1 less the
+similarity, to the power ``PERMUTATIONS``), with the widest window that a size can meet, a whole copy of an item
+of 1 or 2 shingles is missed with a chance of 4e-15, of 3 2e-10, of 4 4e-9, of 5 2e-8;
+one with 0.8 of its shingles left, of 5 or more, with one of 1e-5 at most.
 
 Only items travel: in blocks of a bounded number of shingles, one pass over the documents
 per block. Documents are never shuffled.
@@ -33,8 +40,8 @@ RATIO = math.sqrt(2)
 PERMUTATIONS = 48
 #: Shingles of items that are broadcast at once; more items are taken in more passes.
 BLOCK_SHINGLES = 1 << 20
-#: Shingles whose minima are computed once for all partitions.
-_STEP = 8
+#: Shingles whose minima are computed once for all partitions: as many as the sizes of a partition allow.
+_UNITS = (8, 4, 2, 1)
 
 
 def _item_sets(size: int):
@@ -63,6 +70,16 @@ def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, np.ndarray]
         yield [(r.item_id, np.array(r.members, np.int64).view(np.uint64)) for r in rows]
 
 
+def partition_from(least: int) -> tuple[int, int]:
+    """The unit of strides and the largest size of the partition whose smallest items have ``least`` shingles."""
+    for unit in _UNITS:
+        stride = int(1.25 * RATIO * least) // unit * unit  # the longest that is allowed
+        largest = min(-(-4 * (stride + 1) // 5) - 1, int(RATIO * least))  # int(1.25 largest) <= stride
+        if largest >= least:
+            return unit, largest
+    raise ValueError("an item without shingles")
+
+
 class Index:
     """MinHash values of items by size partition."""
 
@@ -74,43 +91,52 @@ class Index:
         sizes = np.array([len(s) for s in self.sets])
         order = np.argsort(sizes, kind="stable")
         while len(order):
-            here = order[sizes[order] <= max(sizes[order[0]], RATIO * sizes[order[0]])]
+            unit, largest = partition_from(int(sizes[order[0]]))
+            here = order[sizes[order] <= largest]
             order = order[len(here) :]
-            stride = max(1, -(-int(1.25 * sizes[here].max()) // _STEP))
+            stride = -(-int(1.25 * sizes[here].max()) // unit)
             least = np.array([[(self.sets[i] * f).min() for i in here] for f in self.factors])
             by = np.argsort(least, axis=1)
-            self.partitions.append((stride, here[by], np.take_along_axis(least, by, axis=1)))
+            self.partitions.append((unit, stride, here[by], np.take_along_axis(least, by, axis=1)))
 
     def candidates(self, values: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int]]:
         """(row, item) pairs of which some window agrees with the item in some MinHash value."""
         counts = np.diff(bounds)
-        steps = -(-counts // _STEP)
-        total = int(steps.sum())
-        if not total:
+        if not counts.any():
             return set()
-        first = np.cumsum(steps) - steps
-        begin = np.repeat(bounds[:-1] - first * _STEP, steps) + np.arange(total) * _STEP
-        # Where the strides of each partition begin among the steps, their rows, and which have another of the row after them.
-        strides = []
-        for stride, items, least in self.partitions:
-            runs = -(-steps // stride)
-            start = np.cumsum(runs) - runs
-            at = np.repeat(first - start * stride, runs) + np.arange(int(runs.sum())) * stride
-            row = np.repeat(np.arange(len(runs)), runs)
-            strides.append((items, least, at, row, np.append(row[1:] == row[:-1], False)))
+        cuts = []
+        for unit in _UNITS:
+            steps = -(-counts // unit)
+            total = int(steps.sum())
+            first = np.cumsum(steps) - steps
+            begin = np.repeat(bounds[:-1] - first * unit, steps) + np.arange(total) * unit
+            # Where the strides of each partition begin among the steps, their rows, and which have another of the row after them.
+            strides = []
+            for own, stride, items, least in self.partitions:
+                if own != unit:
+                    continue
+                runs = -(-steps // stride)
+                start = np.cumsum(runs) - runs
+                at = np.repeat(first - start * stride, runs) + np.arange(int(runs.sum())) * stride
+                row = np.repeat(np.arange(len(runs)), runs)
+                strides.append((items, least, at, row, np.append(row[1:] == row[:-1], False)))
+            if strides:
+                cuts.append((begin, strides))
         found: set[tuple[int, int]] = set()
         for k, factor in enumerate(self.factors):
-            minima = np.minimum.reduceat(values * factor, begin)
-            for items, least, at, row, follows in strides:
-                run = np.minimum.reduceat(minima, at)
-                window = np.where(follows, np.minimum(run, np.append(run[1:], run[-1:])), run)
-                left = np.searchsorted(least[k], window)
-                hit = np.flatnonzero(least[k][np.minimum(left, len(items[k]) - 1)] == window)
-                for w in hit:
-                    j = left[w]
-                    while j < len(items[k]) and least[k][j] == window[w]:
-                        found.add((int(row[w]), int(items[k][j])))
-                        j += 1
+            hashes = values * factor
+            for begin, strides in cuts:
+                minima = np.minimum.reduceat(hashes, begin)
+                for items, least, at, row, follows in strides:
+                    run = np.minimum.reduceat(minima, at)
+                    window = np.where(follows, np.minimum(run, np.append(run[1:], run[-1:])), run)
+                    left = np.searchsorted(least[k], window)
+                    hit = np.flatnonzero(least[k][np.minimum(left, len(items[k]) - 1)] == window)
+                    for w in hit:
+                        j = left[w]
+                        while j < len(items[k]) and least[k][j] == window[w]:
+                            found.add((int(row[w]), int(items[k][j])))
+                            j += 1
         return found
 
     def matches(self, column: pa.Array, size: int, t: Fraction) -> Iterator[tuple[int, int, int, int]]:

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +70,28 @@ def test_stage_drops_those_and_keeps_the_others(spark, documents, cases):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted((p for p in pairs if p[0] not in leaky), key=str)
 
 
+def test_windows_stay_in_proportion_to_items_of_any_size():
+    for size in range(1, 3000):
+        unit, largest = decontaminate.partition_from(size)
+        assert largest >= size and (unit == 8 or size < 10)
+        for u in range(size, largest + 1):
+            window = 2 * unit * -(-int(1.25 * u) // unit)
+            shared = -(-4 * size // 5)
+            similarity = shared / (window + size - shared)
+            assert window >= 2 * u and (1 - similarity) ** decontaminate.PERMUTATIONS < 1e-5
+
+
+def test_small_items_are_found_in_long_documents():
+    rng = np.random.default_rng(5)
+    for size in (1, 2, 3, 4, 5, 8, 9):
+        values = rng.integers(1, 2**63, 4000 * 120, dtype=np.uint64)
+        bounds = np.arange(4001) * 120
+        rows = range(4000)
+        at = [row * 120 + int(rng.integers(0, 120 - size)) for row in rows]
+        index = decontaminate.Index([(row, np.sort(values[p : p + size])) for row, p in zip(rows, at, strict=True)])
+        assert {(row, row) for row in rows} <= index.candidates(values, bounds)
+
+
 def test_no_rows(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert leaks(documents([(1, "a b c d e f")]), none).count() == 0
