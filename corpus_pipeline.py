@@ -20,7 +20,7 @@ from docweave.llm.tables import stored
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told, by profiles learnt from those that name theirs."""
+    """Documents whose language can be told, by profiles learnt from those that name theirs: all that have a letter."""
     return in_known_language(docs, learn_profiles(docs))
 
 

@@ -188,7 +188,11 @@ def held_out() -> Column:
 
 
 def in_known_language(docs: DataFrame, profiles: dict[str, list[int]]) -> DataFrame:
-    """``docs`` without those whose language cannot be told (``und``); all columns."""
+    """``docs`` without those whose language cannot be told (``und``); all columns.
+
+    Those are null texts and texts without a letter, or all if there are no profiles: no distance is too large, so a
+    text that shares no n-gram with any profile (score 0) stays.
+    """
     shared = bounded_batches(docs.sparkSession).sparkContext.broadcast(profiles)
     at = docs.schema.fieldNames().index("text")
 
