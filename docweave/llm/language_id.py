@@ -21,7 +21,7 @@ from docweave.llm.tables import bounded_batches
 
 #: N-grams of a profile, and of a document's own list.
 PROFILE = 300
-#: Labelled documents from which profiles are learnt, about: a larger table is sampled by a hash of the id.
+#: Labelled documents from which a profile is learnt, about: a language with more is sampled by a hash of the id.
 LEARN_DOCUMENTS = 20_000
 #: More languages than this are refused: their profiles are broadcast.
 MAX_LANGUAGES = 2_000
@@ -99,23 +99,25 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn_profiles(labelled: DataFrame, documents: int = LEARN_DOCUMENTS) -> dict[str, list[int]]:
     """The profile of each language in ``labelled`` (``doc_id``, ``text``, ``lang``).
 
-    Rows without a text or language are left out. About ``documents`` rows are used, chosen by a
-    hash of the id and text. Ties go to the smaller n-gram number.
+    Rows without a text or language are left out. Of each language about ``documents`` rows are used, chosen by a
+    hash of the id and text, or all if it has no more. Ties go to the smaller n-gram number.
     """
-    bounded_batches(labelled.sparkSession)
+    spark = bounded_batches(labelled.sparkSession)
     usable = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    total = usable.count()
-    if total > documents:
-        part = int(documents / total * (1 << 32))
-        usable = usable.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) < part)
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    parts = [(r["lang"], int(documents / r["n"] * (1 << 32))) for r in sizes if r["n"] > documents]
+    if parts:
+        part = F.broadcast(spark.createDataFrame(parts, "lang string, part long"))
+        usable = usable.select("doc_id", "text", "lang").join(part, "lang", "left")
+        usable = usable.filter(F.col("part").isNull() | (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 32)) < F.col("part")))
     counts = (
         usable.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     ).persist()
     try:
-        langs = [r[0] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
-        if len(langs) > MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
+        langs = [r[0] for r in counts.select("lang").distinct().collect()]
         return {
             lang: [r[0] for r in counts.filter(F.col("lang") == lang).orderBy(F.desc("n"), "gram").limit(PROFILE).select("gram").collect()]
             for lang in sorted(langs)

@@ -108,6 +108,14 @@ def test_a_large_table_is_sampled(documents):
     assert set(learn_profiles(docs, documents=100)) == {"en"}
 
 
+def test_rare_languages_are_learnt_whole(documents):
+    pairs = [(i, f"text number {i}") for i in range(400)] + [(1000 + i, f"ord nummer {chr(97 + i)}") for i in range(3)]
+    lang = ["en"] * 400 + ["xx"] * 3
+    found = learn_profiles(documents(pairs, lang), documents=5)
+    assert set(found) == {"en", "xx"}
+    assert found["xx"] == learn_profiles(documents(pairs[400:], lang[400:]))["xx"]
+
+
 def test_ties_go_to_the_first_name():
     same = [int(np.uint64(97 << 42 | MARK).view(np.int64))]
     assert Profiles({"b": same, "a": same}).predict("a")[0] == "a"
