@@ -17,8 +17,8 @@ similarity, to the power ``PERMUTATIONS``), with the widest window that a size c
 of 1 or 2 shingles is missed with a chance of 4e-15, of 3 2e-10, of 4 4e-9, of 5 2e-8;
 one with 0.8 of its shingles left, of 5 or more, with one of 1e-5 at most.
 
-Only items travel: in blocks of a bounded number of shingles, one pass over the documents
-per block. Documents are never shuffled.
+Only items travel, items of equal shingles as one: in blocks of a bounded number of shingles, one
+pass over the documents per block. Documents are never shuffled; what was found is joined with the items' ids.
 """
 
 from __future__ import annotations
@@ -56,18 +56,33 @@ def _item_sets(size: int):
     return sets
 
 
-def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """The items with at least one shingle, a bounded number of shingles at a time."""
+def _sets(items: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """The distinct sets of items with at least one shingle (``set_id``, ``members``), and which items have them (``item_id``, ``set_id``)."""
     bounded_batches(items.sparkSession)
-    sets = stored(
+    rows = stored(
         items.select("item_id", "text").mapInArrow(_item_sets(size), "item_id long, members array<long>")
-        .filter(F.size("members") > 0)
+        .filter(F.size("members") > 0).dropDuplicates()
     )
+    sets = stored(rows.select("members").distinct().select(F.monotonically_increasing_id().alias("set_id"), "members"))
+    return sets, rows.join(sets, "members").select("item_id", "set_id")
+
+
+def _blocks(sets: DataFrame) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """The sets, a bounded number of shingles at a time."""
     total = sets.agg(F.coalesce(F.sum(F.size("members")), F.lit(0))).first()[0]
+    # Consecutive classes of a hash make a block until it is full.
     count = -(-total // BLOCK_SHINGLES)
-    for k in range(count):
-        rows = sets.filter(F.pmod(F.xxhash64("members"), F.lit(count)) == k).collect()
-        yield [(r.item_id, np.array(r.members, np.int64).view(np.uint64)) for r in rows]
+    part = F.pmod(F.xxhash64("set_id"), F.lit(count * 16 if count > 1 else 1))
+    ends, room = [], 0
+    for r in sets.groupBy(part.alias("part")).agg(F.sum(F.size("members")).alias("n")).orderBy("part").collect():
+        if not ends or r["n"] > room:
+            ends.append([r["part"], r["part"]])
+            room = BLOCK_SHINGLES
+        ends[-1][1] = r["part"]
+        room -= r["n"]
+    for low, high in ends:
+        rows = sets.filter(part.between(low, high)).collect()
+        yield [(r.set_id, np.array(r.members, np.int64).view(np.uint64)) for r in rows]
 
 
 def partition_from(least: int) -> tuple[int, int]:
@@ -163,7 +178,8 @@ def leaks(docs: DataFrame, items: DataFrame, size: int = 5, threshold: Fraction
     spark = docs.sparkSession
     texts = docs.select(*identity(), "text")
     found = None
-    for block in _blocks(items, size):
+    sets, owners = _sets(items, size)
+    for block in _blocks(sets):
         shared = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -175,14 +191,14 @@ def leaks(docs: DataFrame, items: DataFrame, size: int = 5, threshold: Fraction
                         batch.column("id").take(pa.array([h[0] for h in hits], pa.int64())),
                         *(pa.array([h[k] for h in hits], pa.int64()) for k in (1, 2, 3)),
                     ],
-                    names=["id", "item_id", "n_shared", "n_shingles"],
+                    names=["id", "set_id", "n_shared", "n_shingles"],
                 )
 
-        part = texts.select("id", "text").mapInArrow(search, "id long, item_id long, n_shared long, n_shingles long")
+        part = texts.select("id", "text").mapInArrow(search, "id long, set_id long, n_shared long, n_shingles long")
         found = part if found is None else found.unionByName(part)
     if found is None:
-        found = spark.createDataFrame([], "id long, item_id long, n_shared long, n_shingles long")
-    return found.select(
+        found = spark.createDataFrame([], "id long, set_id long, n_shared long, n_shingles long")
+    return found.join(owners, "set_id").select(
         doc_id(), "item_id", "n_shared", "n_shingles", (F.col("n_shared") / F.col("n_shingles")).alias("containment")
     )
 
@@ -191,7 +207,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, size: int = 5, threshold:
     """``docs`` without the documents that contain an item; all columns, no shuffle."""
     spark = docs.sparkSession
     schema = docs.schema
-    for block in _blocks(items, size):
+    for block in _blocks(_sets(items, size)[0]):
         shared = spark.sparkContext.broadcast(block)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -92,6 +92,21 @@ def test_small_items_are_found_in_long_documents():
         assert {(row, row) for row in rows} <= index.candidates(values, bounds)
 
 
+def test_copies_of_items_go_as_one(spark, documents, prose, monkeypatch):
+    rng = random.Random(4)
+    monkeypatch.setattr(decontaminate, "BLOCK_SHINGLES", 400)
+    copied = prose(rng, 40)
+    items = [(i, copied) for i in range(60)] + [(i % 60, copied) for i in range(90)] + [(None, copied)] * 3 + [(100 + i, prose(rng, 30)) for i in range(60)]
+    pairs = [(1, prose(rng, 50) + " " + copied), (2, prose(rng, 90)), (3, items[-1][1])]
+    table = spark.createDataFrame(items, "item_id long, text string").repartition(5)
+    got = sorted(((r.doc_id, r.item_id, r.n_shared, r.n_shingles) for r in leaks(documents(pairs), table).collect()), key=str)
+    assert got == brute(pairs, list(dict.fromkeys(items)))
+    assert [r.doc_id for r in decontaminated(documents(pairs), table).collect()] == [2]
+    sets, _ = decontaminate._sets(table, 5)
+    weights = [sum(len(s) for _, s in block) for block in decontaminate._blocks(sets)]
+    assert sum(weights) == 36 + 60 * 26 and max(weights) <= 400
+
+
 def test_no_rows(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert leaks(documents([(1, "a b c d e f")]), none).count() == 0
