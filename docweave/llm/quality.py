@@ -124,7 +124,7 @@ def learn(docs: DataFrame, ratings: DataFrame, documents: int = FIT_DOCUMENTS) -
     """Fits on documents with a rating: ``docs`` has ``doc_id``, ``text``; ``ratings`` has ``doc_id``, ``grade`` from 0.
 
     About ``documents`` of the rated ids are used, chosen by hash. A null id, grade or text is left out; of
-    several ratings of an id the lowest counts. None if nothing is rated or all alike.
+    several ratings of an id the lowest counts, of several texts that with the smallest hash. None if nothing is rated or all alike.
     """
     bounded_batches(docs.sparkSession)
     rated = ratings.filter(F.col("doc_id").isNotNull() & F.col("grade").isNotNull()).groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
@@ -143,6 +143,7 @@ def learn(docs: DataFrame, ratings: DataFrame, documents: int = FIT_DOCUMENTS) -
                 yield pa.record_batch([batch.column("doc_id").slice(first, len(bounds) - 1), lists], names=["doc_id", "buckets"])
 
     texts = some(docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL"))
+    texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
     table = texts.mapInArrow(hashed, "doc_id long, buckets array<int>").join(some(rated), "doc_id").select("buckets", "grade").toArrow()
     grades = table["grade"].to_numpy()
     if len(set(grades.tolist())) < 2:

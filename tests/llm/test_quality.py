@@ -68,6 +68,15 @@ def test_several_ratings_count_as_the_lowest(spark, documents):
     assert kept == {"bad": False, "good": True}
 
 
+def test_a_repeated_document_is_fitted_once(spark, documents, monkeypatch):
+    pairs = [(i, f"text {i}") for i in range(40)] + [(0, f"other {i % 50}") for i in range(300)]
+    ratings = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, grade int")
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda buckets, bounds, grades, levels: fitted.append(sorted(grades.tolist())))
+    learn(documents(pairs).repartition(5), ratings)
+    assert fitted == [[0] * 20 + [1] * 20]
+
+
 def test_held_out_ratings(spark):
     folder = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
