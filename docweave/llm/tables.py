@@ -54,6 +54,23 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Keys that hold more than one row in so many are broadcast: there are at most so many of them.
+HOT_SHARE = 1000
+
+
+def join_by_size(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """The rows with the columns of their group; ``groups`` has one row per key and the number of rows in ``size``.
+
+    Both should be stored tables. Groups of more than a thousandth of all rows, at most a thousand, are
+    broadcast, so no task gets all rows of a large one; the others are joined by shuffles. Keys are not null.
+    """
+    total = groups.agg(F.sum(F.col(size).cast("double"))).first()[0] or 0.0
+    large = F.col(size) > total / HOT_SHARE
+    hot = F.broadcast(groups.filter(large))
+    cold = rows.join(F.broadcast(groups.filter(large).select(*keys)), keys, "left_anti").join(groups.filter(~large), keys)
+    return rows.join(hot, keys).unionByName(cold)
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links ``a``, ``b`` between long ids: ``node``, ``root`` (the smallest id).
 
