@@ -74,15 +74,15 @@ def _measure(text: bytes | None, n_chars: int | None) -> tuple[int, ...]:
     )
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with MEASURES of the column ``text`` in place of any such columns; whole texts, null counts as empty.
+def measured(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The ``columns`` of ``docs`` (all, if not given) and MEASURES of ``text`` in place of any such columns; null counts as empty.
 
     ``n_words``: runs of anything but 0x20 and 0x09 to 0x0D. ``word_chars``: code points in them. ``n_symbols``:
     characters of ``#*$%&|<>``. ``n_filled_lines``: lines, ended by ``\\n``, that hold a word; ``n_dup_lines``: those of them
     that equal an earlier line. ``n_repeat_words``: words in three-word windows that occur twice or more.
     """
     bounded_batches(docs.sparkSession)
-    kept = [c for c in docs.columns if c.lower() not in MEASURES]
+    kept = [c for c in columns or docs.columns if c.lower() not in MEASURES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,7 +93,8 @@ def measured(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([*batch.columns[:-1], *(pa.array(c) for c in columns)], names=[*kept, *MEASURES])
 
     schema = StructType([*docs.select(*kept).schema, *(StructField(c, LongType()) for c in MEASURES)])
-    return docs.select(*kept, docs["text"].alias("__text")).mapInArrow(run, schema)
+    rows = docs.select(*kept, docs["text"].alias("text"))
+    return rows.toDF(*(f"c{i}" for i in range(len(kept) + 1))).mapInArrow(run, schema)
 
 
 def fails(rule: str) -> Column:
@@ -157,8 +158,9 @@ def judged(docs: DataFrame, host: str, columns: list[str] | None = None) -> Data
     """
     made = {*MEASURES, "base_failed", "kept"}
     wanted = [c for c in columns or docs.columns if c.lower() not in made]
-    inner = docs.select(*(F.col(c).alias(f"__c{i}") for i, c in enumerate(wanted)), F.col(host).alias("__host"), "text")
-    rows = stored(measured(inner))
+    carried = {f"__c{i}": c for i, c in enumerate(wanted)}
+    inner = docs.select(*(F.col(c).alias(k) for k, c in carried.items()), F.col(host).alias("__host"), "text")
+    rows = stored(measured(inner, [*carried, "__host"]))
     hosts, priors = host_verdicts(rows, "__host")
     flags = ["rejected", *(f"watched_{r}" for r in RULES)]
     verdicts = stored(hosts.select("__host", "n_documents", *flags))
@@ -174,7 +176,7 @@ def judged(docs: DataFrame, host: str, columns: list[str] | None = None) -> Data
     base = reduce(or_, (fails(r) for r in BASE))
     held = reduce(or_, (F.col(f"watched_{r}") & fails(r) for r in RULES))
     return both.select(
-        *(F.col(f"__c{i}").alias(c) for i, c in enumerate(wanted)), *MEASURES,
+        *(F.col(k).alias(c) for k, c in carried.items()), *MEASURES,
         base.alias("base_failed"), (~base & ~F.col("rejected") & ~held).alias("kept"),
     )
 
