@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import decontaminate, host_rules, line_dedup, warc
+from docweave.llm import decontaminate, host_rules, line_dedup, warc, whitening
 from docweave.llm.byte_bpe import decode, encode
 from docweave.llm.jaccard_join import jaccard_join
 from docweave.llm.language_id import held_out, identify, learn_profiles
@@ -85,6 +85,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    return whitening.by_component(whitening.whiten(vectors, whitening.learn(vectors)), ["vec_id"])
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return host_rules.judged(docs, "source", ["doc_id"]).drop("n_filled_lines")
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_decontaminate": op9_decontaminate,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op13_quality_rules": op13_quality_rules,
 }
 
