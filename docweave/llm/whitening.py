@@ -243,14 +243,19 @@ def learn(vectors: DataFrame, vec: str = "vec", components: int = COMPONENTS) ->
     return {w: Whitening(**{**vars(m), "identity_error": errors[w]}) for w, m in models.items()}
 
 
+def _models(fields: dict[int, dict]) -> dict[int, Whitening]:
+    """Models from what was broadcast: plain values, as executors need not have this package."""
+    return {width: Whitening(**f) for width, f in fields.items()}
+
+
 def _identity_errors(fit: DataFrame, models: dict[int, Whitening]) -> dict[int, float]:
-    shared = fit.sparkSession.sparkContext.broadcast(models)
+    shared = fit.sparkSession.sparkContext.broadcast({w: vars(m) for w, m in models.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+        known, total = _models(shared.value), {}
         for batch in batches:
             for width, _, x in _by_width(batch.column(0)):
-                w = np.nan_to_num(shared.value[width].project(x))
+                w = np.nan_to_num(known[width].project(x))
                 total[width] = total.get(width, 0) + w.T @ w
         for width, m in total.items():
             i, j = np.indices(m.shape).reshape(2, -1)
@@ -277,7 +282,7 @@ def whiten(vectors: DataFrame, models: dict[int, Whitening], vec: str = "vec") -
     """
     made = ["n", "deviation", "whitened", "explained", "identity_error"]
     kept = [c for c in vectors.columns if c.lower() not in made]
-    shared = bounded_batches(vectors.sparkSession).sparkContext.broadcast(models)
+    shared = bounded_batches(vectors.sparkSession).sparkContext.broadcast({w: vars(m) for w, m in models.items()})
     schema = StructType(
         [
             *vectors.select(*kept).schema, StructField("n", LongType()), StructField("deviation", LongType()),
@@ -287,9 +292,10 @@ def whiten(vectors: DataFrame, models: dict[int, Whitening], vec: str = "vec") -
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _models(shared.value)
         for batch in batches:
             for width, at, x in _by_width(batch.column(batch.num_columns - 1)):
-                model = shared.value.get(width)
+                model = known.get(width)
                 if model is None:
                     continue
                 rows, w = batch.take(pa.array(at)), model.project(x)
