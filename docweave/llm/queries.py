@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm import decontaminate, host_rules, line_dedup, warc, whitening
+from docweave.llm import decontaminate, host_rules, line_dedup, prefix_trie, warc, whitening
 from docweave.llm.byte_bpe import decode, encode
 from docweave.llm.jaccard_join import jaccard_join
 from docweave.llm.language_id import held_out, identify, learn_profiles
@@ -90,6 +90,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.by_component(whitening.whiten(vectors, whitening.learn(vectors)), ["vec_id"])
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return host_rules.judged(docs, "source", ["doc_id"]).drop("n_filled_lines")
@@ -107,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": op9_decontaminate,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_quality_rules": op13_quality_rules,
 }
 
@@ -115,5 +120,6 @@ ORACLES: dict[str, str] = {
     "op3_line_dedup": line_dedup.SQL,
     "op8_warc": warc.SQL,
     "op9_decontaminate": decontaminate.SQL,
+    "op12_conversation_trie": prefix_trie.SQL,
     "op13_quality_rules": host_rules.SQL,
 }
