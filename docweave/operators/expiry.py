@@ -5,8 +5,8 @@ through ``advance`` in Arrow batches; memory holds one product's state.
 
 Histories too long for one task: an expiry is a row that finds its state gone,
 and there is at most one per idle period. ``expired_rows`` finds those rows from
-summaries of blocks; once known they are mere resets, and the joins are running
-maxima again, computed by blocks. Each of the three stages is that one operator
+blocks written down as functions of the state carried in; once known they are mere
+resets, and the joins are running maxima again, computed by blocks. Each of the three stages is that one operator
 with another notion of "newer": the event time for the first join, the arrival
 itself for the second, the count of changes so far for suppression.
 """
@@ -42,7 +42,6 @@ from docweave.operators.running import (
     by_history_length,
     checkpointed,
     running,
-    stored,
 )
 from docweave.operators.stock_map import STOCK_MAP, attach_stock_map
 
@@ -256,147 +255,188 @@ def _mark_expired(
 
 
 _CHANNELS = (0, 1)
-_DAY = 86_400_000_000
-_PARTS = "product_id string, slot bigint, _block bigint"
+_FOUND = "product_id string, slot bigint, _block bigint, row bigint, due bigint"
 
 
 def expired_rows(rows: DataFrame, layout: Layout, lifetime: int) -> DataFrame:
     """The rows that find the state of their key expired.
 
-    ``rows``: key, order, block, ``now``, ``version`` (null: the row clears the
+    ``rows``: key, order, block, ``now`` (never running back), ``version`` (null: the row clears the
     state) and ``channel``. A row is accepted if its version is above the stored
     one of its channel; only accepted rows renew the timer.
 
-    Blocks are also cut at multiples of the lifetime, so within one block no
-    timer set there can fall due: only the one carried in can, and only once.
-    Most blocks therefore follow from their summaries alone. Where the carried
-    timer falls due in the middle of a block, the rows on both sides of it are
-    reduced in a further round, for one block per key and round. The rows are
-    stored by day, so a round reads the days of its blocks only.
+    Blocks are also cut at multiples of the lifetime, so within one block no timer set there can
+    fall due: only the one carried in can, and only once. So a block is a function of the state
+    carried in, and ``_summaries`` writes it down in a few pieces per channel. The functions are
+    applied in order, in segments that end where what a block hands on does not depend on what it
+    is handed: segments are worked off side by side. The number of jobs does not depend on the history.
     """
     key, order = layout.key, layout.order
     part = [key, "slot", BLOCK]
-    rows = rows.withColumn("slot", F.col("now") - F.pmod(F.col("now"), F.lit(lifetime)))
+    rows = checkpointed(rows.withColumn("slot", F.col("now") - F.pmod(F.col("now"), F.lit(lifetime))))
+    blocks = _segments(_summaries(rows, layout, part), key, lifetime)
+    dealt = blocks.repartition(key, "segment").sortWithinPartitions(key, "segment", "slot", BLOCK)
+    columns = [key, "segment", "slot", BLOCK, "seed", "first_row", "first_now", "last_now", "clears", "sure_now"]
+    columns += [f"{name}{c}" for c in _CHANNELS for name in ("newest", "rest", "prefix", "suffix")]
+    found = checkpointed(dealt.select(*columns).mapInArrow(_apply_blocks(lifetime), _FOUND).withColumnRenamed("product_id", key))
+    inside = rows.join(found.filter("due IS NOT NULL").drop("row"), part).filter(F.col("now") >= F.col("due"))
+    at_start = found.filter("due IS NULL").select(key, F.col("row").alias(order))
+    return at_start.unionByName(inside.groupBy(*part).agg(F.min(order).alias(order)).select(key, order))
+
+
+def _summaries(rows: DataFrame, layout: Layout, part: list[str]) -> DataFrame:
+    """What each block does to the state carried in.
+
+    A row that clears or has the highest version of its channel so far is accepted whatever the state: it is *sure*. Up to
+    the first sure row of a block the timer may fall due, so of these rows those are kept where the highest version of
+    the channel so far rises (``prefix``: when is a given version first exceeded?) and those that no later one exceeds
+    (``suffix``: what is stored if all starts anew at a given time?). ``rest`` is the first newest row after them,
+    ``newest`` that of the block after its last clear. The pieces are no more than the block's rows and mostly very few.
+    """
+    order = layout.order
+    versioned = F.col("version").isNotNull()
+    own = {c: F.when(F.col("channel") == c, F.col("version")) for c in _CHANNELS}
+    tops = {f"_top{c}": own[c] for c in _CHANNELS}
+    rows = running(rows, layout, maxes=tops, prior={f"_before{c}": f"_top{c}" for c in _CHANNELS})
+    higher = [own[c] > F.coalesce(F.col(f"_before{c}"), F.lit(-(2**63))) for c in _CHANNELS]
+    rows = rows.withColumns(
+        {
+            "sure": ~versioned | F.coalesce(higher[0], F.lit(False)) | F.coalesce(higher[1], F.lit(False)),
+            # No version of the channel so far: nothing is stored of it.
+            **{f"none{c}": F.col(f"_before{c}").isNull() & own[c].isNull() for c in _CHANNELS},
+        }
+    )
     along = Window.partitionBy(*part).orderBy(order)
-    upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    clears = F.sum(F.when(F.col("version").isNull(), 1).otherwise(0)).over(upto)
-    day = F.col("now") - F.pmod(F.col("now"), F.lit(_DAY))
-    rows = stored(rows.withColumns({"clears": clears, "day": day}), "day")
-    summaries = checkpointed(rows.groupBy(*part).agg(*_summary(order)))
-    answers = None
-    while True:
-        known = answers if answers is not None else _no_answers(rows, order, part)
-        chained = checkpointed(
-            summaries.groupBy(key).cogroup(known.groupBy(key)).applyInArrow(
-                _chain(key, lifetime), schema=f"{_PARTS}, row bigint, due bigint, v0 bigint, v1 bigint"
-            )
-        )
-        pending = chained.filter(F.col("due").isNotNull())
-        slots = [r.slot for r in pending.select("slot").distinct().collect()]
-        if not slots:
-            return chained.select(F.col("product_id").alias(key), F.col("row").alias(order))
-        days = {d for slot in slots for d in range(slot - slot % _DAY, slot + lifetime, _DAY)}
-        found = checkpointed(_look_inside(rows.filter(F.col("day").isin(days)), pending, order, part))
-        answers = found if answers is None else checkpointed(answers.unionByName(found))
+    same = Window.partitionBy(*part, "channel").orderBy(order)
+    start, end = Window.unboundedPreceding, Window.unboundedFollowing
+    rows = rows.withColumns(
+        {
+            "clears": F.sum(F.when(versioned, 0).otherwise(1)).over(along.rowsBetween(start, 0)),
+            "_sure": F.coalesce(F.sum(F.col("sure").cast("int")).over(along.rowsBetween(start, -1)), F.lit(0)),
+            "_earlier": F.max("version").over(same.rowsBetween(start, -1)),
+            "_later": F.max("version").over(same.rowsBetween(1, end)),
+        }
+    )
+    opened = F.col("_sure") == 0
+    rising = opened & versioned & (F.col("_earlier").isNull() | (F.col("version") > F.col("_earlier")))
+    lasting = opened & versioned & (F.col("_later").isNull() | (F.col("version") >= F.col("_later")))
+    first_of = F.struct("version", (-F.col(order)).alias("order"), "now")
+    piece = F.struct(F.col(order).alias("order"), "now", "version")
+
+    def pieces(where: Column, c: int) -> Column:
+        return F.array_sort(F.collect_list(F.when(where & (F.col("channel") == c), piece)))
+
+    per_channel = []
+    for c in _CHANNELS:
+        mine = versioned & (F.col("channel") == c)
+        per_channel += [
+            F.max(F.when(mine, F.struct("clears", "version", (-F.col(order)).alias("order"), "now"))).alias(f"newest{c}"),
+            F.max(F.when(mine & ~opened, first_of)).alias(f"rest{c}"),
+            pieces(rising, c).alias(f"prefix{c}"),
+            pieces(lasting, c).alias(f"suffix{c}"),
+            (F.max(F.col("sure") & mine) | F.min(f"none{c}")).alias(f"known{c}"),
+        ]
+    return rows.groupBy(*part).agg(
+        F.min(order).alias("first_row"), F.min("now").alias("first_now"), F.max("now").alias("last_now"),
+        F.max("clears").alias("clears"), F.min(F.when(F.col("sure"), F.col("now"))).alias("sure_now"), *per_channel,
+    )
 
 
-def _summary(order: str, where: Column | None = None) -> list[Column]:
-    """First and last arrival, clears, and the first newest row of each channel.
+def _segments(blocks: DataFrame, key: str, lifetime: int) -> DataFrame:
+    """Adds ``segment`` and ``seed``, the state at the start of each segment but the first.
 
-    The newest row is taken after the last clear of the block.
+    A block hands on the same whatever it is handed if it clears, if both channels reach a new height in it (or have
+    no version yet), or if the next block begins a lifetime or more after its last row.
     """
-
-    def only(value: Column) -> Column:
-        return value if where is None else F.when(where, value)
-
-    newest = [
-        F.max(
-            F.when(
-                (F.col("channel") == c) & F.col("version").isNotNull(),
-                only(F.struct("clears", "version", (-F.col(order)).alias("order"), "now")),
-            )
-        ).alias(f"newest{c}")
-        for c in _CHANNELS
-    ]
-    return [
-        F.min(only(F.col(order))).alias("first_row"),
-        F.min(only(F.col("now"))).alias("first_now"),
-        F.max(only(F.col("now"))).alias("last_now"),
-        F.max(only(F.col("clears"))).alias("clears"),
-        *newest,
-    ]
-
-
-def _look_inside(rows: DataFrame, pending: DataFrame, order: str, part: list[str]) -> DataFrame:
-    """Reduces the pending blocks (at most one per key) on both sides of the due time."""
-    pending = pending.select(
-        F.col("product_id").alias(part[0]), "slot", BLOCK, "due", "v0", "v1"
+    along = Window.partitionBy(key).orderBy("slot", BLOCK)
+    dead = F.lead("first_now").over(along) - F.col("last_now") >= lifetime
+    newest = [F.when(F.col(f"newest{c}.clears") == F.col("clears"), F.col(f"newest{c}")) for c in _CHANNELS]
+    state = F.struct(
+        *(n["version"].alias(f"v{c}") for c, n in zip(_CHANNELS, newest)),
+        F.greatest(*(n["now"] for n in newest)).alias("renewed"),
     )
-    inside = rows.join(F.broadcast(pending), part)
-    before = F.col("now") < F.col("due")
-    newer = [
-        (F.col("channel") == c)
-        & F.col("version").isNotNull()
-        & (F.col(f"v{c}").isNull() | (F.col("version") > F.col(f"v{c}")))
-        for c in _CHANNELS
-    ]
-    renews = F.col("version").isNull() | newer[0] | newer[1]
-    return inside.groupBy(*part, "due").agg(
-        F.max(before & renews).alias("renewed"), *_summary(order, ~before)
+    nothing = F.lit(None).cast("bigint")
+    idle = F.struct(nothing.alias("v0"), nothing.alias("v1"), F.col("last_now").alias("renewed"))
+    settled = (F.col("clears") > 0) | (F.col("known0") & F.col("known1"))
+    # A block without a clear has stored something, which is gone when the next one begins.
+    blocks = blocks.withColumn("_idle", F.coalesce(dead, F.lit(False)) & (F.col("clears") == 0))
+    blocks = blocks.withColumn("_ends", settled | F.col("_idle"))
+    blocks = blocks.withColumn("_state", F.when(F.col("_idle"), idle).when(settled, state))
+    return blocks.withColumns(
+        {
+            "segment": F.coalesce(F.sum(F.col("_ends").cast("bigint")).over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "seed": F.lag("_state").over(along),
+        }
     )
 
 
-def _no_answers(rows: DataFrame, order: str, part: list[str]) -> DataFrame:
-    empty = rows.limit(0).withColumn("due", F.lit(0).cast("bigint"))
-    return empty.groupBy(*part, "due").agg(F.max(F.lit(True)).alias("renewed"), *_summary(order))
-
-
-def _chain(key: str, lifetime: int):
-    """Takes a key's blocks in order; gives its expired rows or the block to look into.
-
-    The state carried along is the stored version per channel and the time of
-    the last accepted row. A key's blocks are few: its rows over the block width.
-    """
+def _apply_blocks(lifetime: int):
+    """Streams blocks through the state of their segment; gives expired rows, or the block and time from which one is."""
 
-    def tail(summary: dict) -> list:
-        """Newest rows after the last clear of the block."""
-        newest = [summary[f"newest{c}"] for c in _CHANNELS]
-        return [n if n is not None and n["clears"] == summary["clears"] else None for n in newest]
+    def fresh(block: dict) -> tuple[list, int | None]:
+        newest = [block[f"newest{c}"] for c in _CHANNELS]
+        newest = [n if n is not None and n["clears"] == block["clears"] else None for n in newest]
+        return _state_of(newest)
 
-    def merge(state, summary, cleared):
-        versions, renewed = ([None, None], None) if cleared else (list(state[0]), state[1])
-        for c, n in enumerate(tail(summary)):
+    def merged(state: tuple[list, int | None], block: dict) -> tuple[list, int | None]:
+        if block["clears"]:
+            return fresh(block)
+        versions, renewed = list(state[0]), state[1]
+        for c in _CHANNELS:
+            n = block[f"newest{c}"]
             if n is not None and (versions[c] is None or n["version"] > versions[c]):
                 versions[c] = n["version"]
                 renewed = n["now"] if renewed is None else max(renewed, n["now"])
         return versions, renewed
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        blocks = sorted(left.to_pylist(), key=lambda b: b["first_row"])
-        known = {(a["slot"], a[BLOCK], a["due"]): a for a in right.to_pylist()}
-        out, state = [], ([None, None], None)
-        for b in blocks:
-            place = (b[key], b["slot"], b[BLOCK])
-            cleared = b["clears"] > 0
-            due = None if state[1] is None else state[1] + lifetime
-            if due is not None and due <= b["first_now"]:
-                out.append((*place, b["first_row"], None, None, None))
-                state = merge(state, b, True)
-            elif due is not None and due <= b["last_now"]:
-                inside = known.get((b["slot"], b[BLOCK], due))
-                if inside is None:
-                    out.append((*place, None, due, *state[0]))
-                    break
-                if inside["renewed"]:
-                    state = merge(state, b, cleared)
+    def anew(block: dict, due: int) -> tuple[list, int | None]:
+        if block["clears"]:
+            return fresh(block)
+        return _state_of(
+            [next((p for p in block[f"suffix{c}"] if p["now"] >= due), block[f"rest{c}"]) for c in _CHANNELS]
+        )
+
+    def first_accepted(state: tuple[list, int | None], block: dict) -> int | None:
+        times = [block["sure_now"]]
+        for c in _CHANNELS:
+            stored = state[0][c]
+            times.append(next((p["now"] for p in block[f"prefix{c}"] if stored is None or p["version"] > stored), None))
+        return min((t for t in times if t is not None), default=None)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, state = None, ([None, None], None)
+        for batch in batches:
+            out = []
+            names = batch.schema.names
+            for key, *values in zip(*(c.to_pylist() for c in batch.columns)):
+                b = dict(zip(names[1:], values))
+                if (key, b["segment"]) != current:
+                    current, seed = (key, b["segment"]), b["seed"]
+                    state = ([None, None], None) if seed is None else ([seed["v0"], seed["v1"]], seed["renewed"])
+                due = None if state[1] is None else state[1] + lifetime
+                place = (key, b["slot"], b[BLOCK])
+                if due is None or due > b["last_now"]:
+                    state = merged(state, b)
+                elif due <= b["first_now"]:
+                    out.append((*place, b["first_row"], None))
+                    state = fresh(b)
                 else:
-                    out.append((*place, inside["first_row"], None, None, None))
-                    state = merge(state, inside, True)
-            else:
-                state = merge(state, b, cleared)
-        names = ["product_id", "slot", BLOCK, "row", "due", "v0", "v1"]
-        types = [pa.string(), *[pa.int64()] * 6]
-        made = list(zip(*out)) if out else [()] * len(names)
-        return pa.table([pa.array(list(v), t) for v, t in zip(made, types)], names=names)
+                    accepted = first_accepted(state, b)
+                    if accepted is not None and accepted < due:
+                        state = merged(state, b)
+                    else:
+                        out.append((*place, None, due))
+                        state = anew(b, due)
+            made = list(zip(*out)) if out else [()] * 5
+            types = [pa.string(), *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, t) for v, t in zip(made, types)], ["product_id", "slot", BLOCK, "row", "due"]
+            )
+
+    def _state_of(newest: list) -> tuple[list, int | None]:
+        return (
+            [None if n is None else n["version"] for n in newest],
+            max((n["now"] for n in newest if n is not None), default=None),
+        )
 
     return run

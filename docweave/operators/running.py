@@ -11,7 +11,6 @@ within a key, so a block never holds more rows than its width.
 from __future__ import annotations
 
 import tempfile
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -139,14 +138,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, partition: str) -> DataFrame:
-    """Cuts the lineage with a table in the same folder, of which parts can be read."""
-    set_checkpoint_folder(df.sparkSession)
-    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
-    df.write.partitionBy(partition).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def set_checkpoint_folder(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:

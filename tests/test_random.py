@@ -15,8 +15,8 @@ from docweave.functions.columns import stock_text
 from docweave.functions.lifecycle import Lifetimes
 from docweave.operators import reports
 from docweave.operators.enrich import counted_events, document_history, without_payload
-from docweave.operators.expiry import lifecycle
-from docweave.operators.running import by_history_length, long_keys
+from docweave.operators.expiry import expired_rows, lifecycle
+from docweave.operators.running import BLOCK, Layout, by_history_length, long_keys
 from docweave.operators.snapshot import latest_documents
 from docweave.operators.stock_map import attach_stock_map
 
@@ -162,6 +162,66 @@ def test_unlike_lifetimes_agree(spark):
     assert shown(lifecycle(changes, lifetimes, max_rows=64)) == shown(whole)
 
 
+def timer_rows(seed, n, lifetime):
+    """(key, seq, now, version, channel) of three keys; versions rise, fall, repeat or clear, in one channel or two."""
+    rng = random.Random(seed)
+    rows = []
+    for key in ("a", "b", "c"):
+        now, level, channels = 0, 50, rng.choice([1, 2])
+        drift, step = rng.choice([-0.4, 0.0, 0.4]), rng.choice([lifetime // 9, lifetime // 3, 2 * lifetime])
+        for seq in range(n):
+            now += rng.choice([0, 0, rng.randint(0, step)])
+            level += drift
+            version = None if rng.random() < 0.01 else int(level + rng.randrange(12))
+            rows.append((key, seq, now, version, rng.randrange(channels)))
+    return rows
+
+
+def plain_expired(rows, lifetime):
+    found, states = [], {}
+    for key, seq, now, version, channel in rows:
+        versions, renewed = states.get(key, ({}, None))
+        if renewed is not None and now >= renewed + lifetime:
+            found.append((key, seq))
+            versions, renewed = {}, None
+        if version is None:
+            versions, renewed = {}, None
+        elif channel not in versions or version > versions[channel]:
+            versions, renewed = {**versions, channel: version}, now
+        states[key] = (versions, renewed)
+    return found
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_expired_rows(spark, seed):
+    lifetime, width = 90, random.Random(seed).choice([4, 17, 200])
+    rows = timer_rows(seed, 400, lifetime)
+    df = spark.createDataFrame(rows, "product_id string, seq long, now long, version long, channel int")
+    df = df.withColumn(BLOCK, F.col("seq") - F.col("seq") % width)
+    found = expired_rows(df, Layout(width=width), lifetime).collect()
+    assert sorted((r.product_id, r.seq) for r in found) == sorted(plain_expired(rows, lifetime))
+    assert found
+
+
+def test_jobs_do_not_grow_with_a_history(spark):
+    """With hundreds of expiries in the longer history, each of which may fall due inside a block."""
+    tracker, jobs, expired = spark.sparkContext.statusTracker(), [], []
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for n in (300, 3000):
+            rows = timer_rows(1, n, 90)
+            df = spark.createDataFrame(rows, "product_id string, seq long, now long, version long, channel int")
+            df = df.withColumn(BLOCK, F.col("seq") - F.col("seq") % 50)
+            spark.sparkContext.setJobGroup(f"expiry-{n}", "")
+            expired.append(expired_rows(df, Layout(width=50), 90).count())
+            jobs.append(len(tracker.getJobIdsForGroup(f"expiry-{n}")))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1] and expired[1] > 5 * expired[0] > 0
+
+
 def test_reports_do_not_depend_on_blocks(spark):
     changes = frame(spark, make_rows(4, 900, False))
 
