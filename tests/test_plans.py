@@ -24,18 +24,27 @@ def plan(spark, name):
         ("stale_filter", 1),
         ("delete_epochs", 1),
         ("product_price_changelog", 1),
-        ("product_price_latest", 1),
+        ("product_price_latest", 1),  # partial rows only
         ("enriched_changelog", 1),
         ("dedup_changelog", 1),
         ("stock_running", 1),
         ("ttl_full_pipeline", 1),
-        ("enriched_latest", 3),  # pairs by product; stock by warehouse, then by product
+        ("enriched_latest", 3),  # partial pairs by product; stock by warehouse, then by product
     ],
 )
 def test_exchanges(spark, name, exchanges):
     assert len(re.findall(r"Exchange (?:hash|range|single)", plan(spark, name))) == exchanges
 
 
+@pytest.mark.parametrize("name", ["enriched_latest", "product_price_latest", "snapshot_bootstrap"])
+def test_snapshots_combine_partial_rows(spark, name):
+    """No history is sorted, and what crosses the exchange is aggregated before."""
+    text = plan(spark, name)
+    assert "Window" not in text and "Python" not in text and "Arrow" not in text
+    below = text[: text.index("BroadcastHashJoin")]
+    assert re.search(r"Exchange hashpartitioning\(product_id.*\n.*(?:Sort|Hash|ObjectHash)Aggregate", below)
+
+
 @pytest.mark.parametrize("name", ["stock_totals", "stock_running", "delete_epochs"])
 def test_columns_are_pruned(spark, name):
     schema = re.search(r"ReadSchema: (.*)", plan(spark, name)).group(1)

@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 from docweave import schemas as S
 from docweave.functions.columns import stock_text
 from docweave.functions.lifecycle import Lifetimes
-from docweave.operators import reports
+from docweave.operators import reports, snapshot
 from docweave.operators.enrich import counted_events, document_history, without_payload
 from docweave.operators.expiry import expired_rows, lifecycle
 from docweave.operators.running import BLOCK, Layout, by_history_length, long_keys
-from docweave.operators.snapshot import latest_documents
 from docweave.operators.stock_map import attach_stock_map
 
 START = datetime(2024, 1, 1)
@@ -249,10 +248,29 @@ def test_reports_without_texts(spark):
     assert seen(full) == seen(light)
 
 
-def test_latest_documents_do_not_depend_on_blocks(spark):
-    changes = frame(spark, make_rows(5, 900, False))
-    whole, cut = (sorted(map(str, latest_documents(changes, n).collect())) for n in (10_000, 20))
-    assert whole == cut
+@pytest.mark.parametrize("few", [True, False], ids=["broadcast", "dealt"])
+def test_latest_state_equals_the_end_of_the_history(spark, monkeypatch, few):
+    """Of products that are deleted once, often, last of all or never, however many are deleted."""
+    if not few:
+        monkeypatch.setattr(snapshot, "MAX_BROADCAST_ROWS", 0)
+    rows = make_rows(5, 900, False)
+    rng = random.Random(8)
+    for r in rows:
+        if r["product_id"] in ("p1", "p2", "p3", "hot") and rng.random() < 0.2:
+            r.update(kind="D", name=None, currency=None, warehouse_id=None, quantity=None)
+    changes = frame(spark, rows + [{**rows[-1], "seq": 900 + i, "kind": "D", "product_id": f"p{i % 5}"} for i in range(10)])
+    history = by_history_length(changes, document_history, max_rows=10_000)
+    shape = ["product_id", "name", "currency", "last_product_update", "last_price_update"]
+
+    def seen(df):
+        return sorted(map(str, df.select(*shape).collect()))
+
+    pairs = history.filter("kind IN ('P', 'R') AND accepted").groupBy("product_id").agg(F.max(F.struct("seq", *shape[1:])).alias("l"))
+    assert seen(snapshot.latest_pairs(changes)) == seen(pairs.select("product_id", "l.*"))
+    ends = history.filter("kind != 'S'").groupBy("product_id").agg(F.max("epoch").alias("end"))
+    last = history.filter("kind IN ('P', 'R') AND accepted").join(ends, "product_id").filter("epoch = end")
+    last = last.groupBy("product_id").agg(F.max(F.struct("seq", *shape[1:])).alias("l"))
+    assert seen(snapshot.product_price_state(changes)) == seen(last.select("product_id", "l.*"))
 
 
 def test_long_keys(spark):
