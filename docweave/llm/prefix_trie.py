@@ -269,7 +269,7 @@ def prefix_trie(turns: DataFrame, sizes: DataFrame) -> DataFrame:
     paths, nodes = _name_prefixes(sizes, segments, levels, folder)
     zeros = [F.lit(0).cast("long").alias(c) for c in ("a", "r1", "r2", *_NODE)]
     root = sizes.agg(F.min("conv").alias("conv"), F.count(F.lit(1)).alias("n_convs"), F.count_if(F.col("len") == 0).alias("n_ends"), F.lit(0).alias("n"))
-    totals = _block_totals(nodes, root.select(*zeros, "*"), levels, folder)
+    totals = _block_totals(nodes, stored(root.select(*zeros, "*")), levels, folder)
 
     # The parent of a node at odd depth is its block's root, that of one at even depth the last cut on the way to it.
     odd = totals.filter("t = 0").select(*_NODE, F.col("r1").alias("p1"), F.col("r2").alias("p2"))
