@@ -47,7 +47,7 @@ FREQUENT = 1 << 19
 #: Tasks over which the cells of a frequent shingle are dealt.
 SALTS = 32
 #: Classes of a shingle that are paired outright; larger groups go by way of their pivot.
-PAIRED = 64
+PAIRED = 8
 
 
 def class_key(members: np.ndarray) -> np.uint64:
