@@ -196,12 +196,12 @@ def in_known_language(docs: DataFrame, profiles: dict[str, list[int]]) -> DataFr
     text that shares no n-gram with any profile (score 0) stays.
     """
     shared = bounded_batches(docs.sparkSession).sparkContext.broadcast(profiles)
-    at = docs.schema.fieldNames().index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Only the texts cross to Python, and only a flag comes back.
+    @F.arrow_udf("boolean")
+    def is_known(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = Profiles(shared.value)
-        for batch in batches:
-            known = [table.predict(t.as_py())[0] != UNDETERMINED for t in batch.column(at)]
-            yield batch.filter(pa.array(known, pa.bool_()))
+        for texts in batches:
+            yield pa.array([table.predict(t.as_py())[0] != UNDETERMINED for t in texts], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(is_known("text"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave.llm import decontaminate, host_rules, line_dedup, prefix_trie, warc, whitening
-from docweave.llm.byte_bpe import decode, encode
+from docweave.llm.byte_bpe import encode
 from docweave.llm.jaccard_join import jaccard_join
 from docweave.llm.language_id import held_out, identify, learn_profiles
 from docweave.llm.neighbours import nearest
@@ -59,9 +59,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    path = public_tokenizers.path(RANKS)
-    ids = encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return decode(ids, path).select(
+    return encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

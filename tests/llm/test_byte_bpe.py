@@ -62,6 +62,31 @@ def test_columns_of_that_name_are_replaced_and_no_rows_give_none(documents):
     assert decode(encode(documents([]), PATH, public_tokenizers.PATTERN), PATH).count() == 0
 
 
+def test_wide_pieces(reference):
+    """Pieces of tens of thousands of letters, one by one and side by side with others of their width."""
+    rng = random.Random(6)
+    with open(PATH, "rb") as file:
+        encoder = Encoder(read_ranks(file.read()), public_tokenizers.PATTERN)
+    made = ["".join(rng.choices("abcdefghijkl", k=n)) for n in (20_000, 40_000, *[70 + k for k in range(60)])]
+    for text, ids in zip(made, encoder.encode(made), strict=True):
+        assert list(memoryview(ids).cast("i")) == reference.encode_ordinary(text)
+
+
+def test_decoding_along_with_encoding(documents):
+    docs = documents([(1, "a b é"), (2, None)]).withColumnRenamed("key", "decoded").withColumnRenamed("id", "__text")
+    rows = {r.doc_id: r for r in encode(docs, PATH, public_tokenizers.PATTERN, decoded="decoded").collect()}
+    assert bytes(rows[1].decoded) == "a b é".encode() and bytes(rows[2].decoded) == b"" and list(rows[2].ids) == []
+    assert rows[1]["__text"] == 7
+
+
+def test_an_id_that_is_no_token():
+    with open(PATH, "rb") as file:
+        decoder = byte_bpe.Decoder(read_ranks(file.read()))
+    for ids in ([-1], [10**9]):
+        with pytest.raises((KeyError, IndexError)):
+            decoder.decode(byte_bpe.np.array(ids))
+
+
 def test_query(spark, reference):
     folder = "/root/testdata/sf0.001"
     got = {tuple(r) for r in QUERIES["op7_byte_bpe"](spark, folder).collect()}
