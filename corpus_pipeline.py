@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docweave.llm.byte_bpe import decode, encode
+from docweave.llm.byte_bpe import encode
 from docweave.llm.decontaminate import decontaminated
 from docweave.llm.jaccard_join import one_of_each
 from docweave.llm.language_id import in_known_language, learn_profiles
@@ -43,11 +43,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, the ids, their number, and whether decoding them gives the text back."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     text = F.coalesce("text", F.lit(""))
-    ids = encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    ids = ids.select("doc_id", "ids", F.sha2(text, 256).alias("text_sha256"))
-    return decode(ids, path).select(
+    ids = encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN, decoded="decoded")
+    return ids.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"),
+        (F.col("decoded") == text.cast("binary")).alias("round_trip"),
     )
 
 
