@@ -1,6 +1,8 @@
 """The whole streaming job over files: parsing, restart, timers, the table."""
 
 import json
+import random
+import re
 import time
 from datetime import datetime, timedelta
 
@@ -11,6 +13,7 @@ from docweave import schemas as S
 from docweave.functions.lifecycle import Lifetimes
 from docweave.operators import index
 from docweave.operators.expiry import lifecycle, lifecycle_documents
+from docweave.operators.snapshot import latest_documents
 from docweave.plans.event_fixture import change_events
 from docweave.settings import DEFAULTS, load_settings
 from docweave.sources import parse
@@ -63,8 +66,8 @@ def test_replay_with_restart_equals_batch(spark, tmp_path):
     assert as_text(table.documents()) == as_text(expected)
     assert counters["join_hits"] == history.filter("other_side").count()
     assert counters["dedup_filtered"] == history.filter("outcome = 'suppressed'").count()
-    compacted = table.compact(str(tmp_path / "compacted"))
-    assert as_text(compacted.documents()) == as_text(expected)
+    one = expected.first().product_id
+    assert table.lookup(one).collect() == index.lookup(expected, one).collect()
 
 
 def test_messages_end_to_end(spark, tmp_path):
@@ -198,14 +201,60 @@ def test_upsert_rule(spark, tmp_path):
     assert row.name is None
     assert row.stock_by_warehouse == {"w1": 9, "w2": 5}
     third = spark.createDataFrame([document("c", {}, 0)], schema)
-    compacted = table.compact(str(tmp_path / "compacted"))
-    compacted.apply(third, 2)
-    row = compacted.documents().first()
+    for _ in range(2):
+        table.apply(third, 2)
+    row = table.documents().first()
     assert (row.name, row.stock_by_warehouse) == ("c", {"w1": 9, "w2": 5})
     typed = index.typed(table.documents())
     assert dict(typed.dtypes)["completeness"] == "float" and dict(typed.dtypes)["price"] == "decimal(18,2)"
 
 
+def test_table_stays_bounded(spark, tmp_path):
+    """Many batches leave one folder per bucket; a batch rewrites the buckets it touches, applied twice it changes nothing."""
+    rng = random.Random(4)
+    schema = S.DOCUMENT.simpleString()[len("struct<") : -1] + ",position:bigint"
+    empty = dict.fromkeys(S.DOCUMENT.fieldNames())
+    path = tmp_path / "index"
+    table = IndexTable(spark, str(path), buckets=4)
+    expected = {}
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+    for batch in range(25):
+        rows = []
+        for position in range(3):
+            product, stock = f"p{rng.randrange(6)}", {f"w{rng.randrange(3)}": batch}
+            old = expected.get(product, (None, {}))[1]
+            expected[product] = (f"n{batch}-{position}", {**old, **stock})
+            rows.append((*{**empty, "product_id": product, "name": f"n{batch}-{position}", "stock_by_warehouse": stock}.values(), position))
+        documents = spark.createDataFrame(rows, schema)
+        table.apply(documents, batch)
+    assert {d.name for d in path.iterdir() if d.is_dir()} <= {f"bucket={b}" for b in range(4)}
+    assert len(files()) <= 4
+    shown = lambda: {r.product_id: (r.name, r.stock_by_warehouse) for r in table.documents().collect()}
+    assert shown() == expected
+    table.apply(documents, batch)
+    assert shown() == expected
+    before, product = files(), next(iter(expected))
+    table.apply(spark.createDataFrame([(*{**empty, "product_id": product, "name": "new"}.values(), 0)], schema), 1000)
+    gone = {f.parent.name for f in before.keys() - files().keys()}
+    assert len(gone) == 1 and all(files().get(f) == t for f, t in before.items() if f.parent.name not in gone)
+    assert table.lookup(product).first().name == "new" and table.lookup("none").collect() == []
+
+
+def test_lookup_reads_one_bucket(spark, tmp_path):
+    table = IndexTable(spark, str(tmp_path / "index"), buckets=8)
+    rows = change_events(spark, "/root/testdata/sf0.001")
+    table.apply(latest_documents(rows).withColumn("position", F.lit(0).cast("bigint")), 0)
+    found = table.lookup("product-7")
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[isnotnull\(bucket.*bucket#\d+ = \d\)", text)
+    assert "PushedFilters: [IsNotNull(product_id), EqualTo(product_id,product-7)]" in text and "Aggregate" not in text
+    assert "stock_by_warehouse" not in re.search(r"ReadSchema: (.*)", text).group(1)
+    assert len(found.inputFiles()) >= 1 and found.count() == 1
+
+
 def test_settings(tmp_path):
     file = tmp_path / "job.properties"
     file.write_text("# comment\nstate.ttl.hours=12\nkafka.topic.prices = p\n")
