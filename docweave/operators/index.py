@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from docweave import schemas as S
 from docweave.functions.columns import sorted_entries
@@ -48,15 +49,21 @@ def fold_upserts(documents: DataFrame, order: list[str]) -> DataFrame:
     ).select(*S.DOCUMENT.fieldNames(), *order)
 
 
-def last_documents(documents: DataFrame) -> DataFrame:
-    """The last document of each product.
+def last_documents(documents: DataFrame, maps: DataFrame | None = None) -> DataFrame:
+    """The last document of each product, without its stock map or with that of ``maps`` (one row per product).
 
     That is ``fold_upserts`` where a product's documents never lose a warehouse,
-    as without expiry, for one small row per product and task.
+    as without expiry, for one small row per product and task. A suppressed document changes no stock,
+    so the map after all events is that of the last document sent.
     """
-    fields = S.DOCUMENT.fieldNames()
+    fields = [f for f in S.DOCUMENT.fieldNames() if f in documents.columns and f != "stock_by_warehouse"]
     last = F.max_by(F.struct(*fields), "seq").alias("last")
-    return documents.groupBy("product_id").agg(last).select("last.*")
+    rows = documents.groupBy("product_id").agg(last).select("last.*")
+    if maps is None:
+        return rows
+    stock = F.coalesce("stock_by_warehouse", F.create_map().cast("map<string,int>")).alias("stock_by_warehouse")
+    joined = rows.join(maps.select("product_id", "stock_by_warehouse"), "product_id", "left")
+    return joined.withColumn("stock_by_warehouse", stock).select(*S.DOCUMENT.fieldNames())
 
 
 #: Documents as the index types them: cents, 32-bit counts and scores.
@@ -68,6 +75,7 @@ _INDEX_TYPES = {
 
 
 def typed(documents: DataFrame) -> DataFrame:
+    """The fields that ``documents`` have, as the index types them."""
     rounded = {"price": F.round("price", 2)}
     return documents.select(
         *(
@@ -75,6 +83,7 @@ def typed(documents: DataFrame) -> DataFrame:
             if f in _INDEX_TYPES
             else F.col(f)
             for f in S.DOCUMENT.fieldNames()
+            if f in documents.columns
         )
     )
 
@@ -104,6 +113,26 @@ def update_actions(documents: DataFrame) -> DataFrame:
     return document_json(documents).select("product_id", body.alias("action"))
 
 
+def bulk_requests(documents: DataFrame, index_name: str, most: int, buckets: int = 64) -> DataFrame:
+    """Bodies of bulk requests of at most ``most`` updates each: ``bucket``, ``request``, ``updates``, ``first_id``, ``last_id``, ``body``.
+
+    Products are dealt to buckets by a hash, so requests are made side by side; within one they go by product.
+    A body has two lines for each update: what to update, and the document.
+    """
+    head = F.to_json(F.struct(F.struct(F.lit(index_name).alias("_index"), F.col("product_id").alias("_id")).alias("update")))
+    rows = update_actions(documents).select(
+        "product_id", F.concat(head, F.lit("\n"), F.col("action"), F.lit("\n")).alias("lines"),
+        F.pmod(F.crc32(F.col("product_id").cast("binary")), F.lit(buckets)).cast("int").alias("bucket"),
+    )
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("product_id")) - 1
+    rows = rows.withColumn("request", F.floor(place / most).cast("int"))
+    sorted_lines = F.array_sort(F.collect_list(F.struct("product_id", "lines")))
+    return rows.groupBy("bucket", "request").agg(
+        F.count(F.lit(1)).alias("updates"), F.min("product_id").alias("first_id"), F.max("product_id").alias("last_id"),
+        F.array_join(F.transform(sorted_lines, lambda x: x["lines"]), "").alias("body"),
+    )
+
+
 READ_FIELDS = (
     "product_id",
     "name",

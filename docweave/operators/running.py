@@ -11,6 +11,7 @@ within a key, so a block never holds more rows than its width.
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -138,6 +139,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def new_folder(spark: SparkSession) -> str:
+    """The name of a new folder beside the checkpoints, which all executors see."""
+    set_checkpoint_folder(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
 def set_checkpoint_folder(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:

@@ -426,6 +426,12 @@ def _latency(pick: str, test: str) -> str:
     )
 
 
+# crc32 of a text, bit by bit.
+_CRC = """xor(list_reduce(flatten(list_transform(range(length(product_id)), lambda i:
+  [ascii(substr(product_id, i + 1, 1)), -1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])),
+  lambda z, b: CASE WHEN b >= 0 THEN xor(z, b) ELSE xor(z >> 1, 3988292384 * (z & 1)) END, 4294967295::BIGINT),
+  4294967295::BIGINT)"""
+
 ORACLES: dict[str, str] = {
     "cdc_parse": _sql(
         _MESSAGE_EVENTS, _CDC_TEXTS, _CDC_PARSED,
@@ -557,6 +563,14 @@ FROM (SELECT product_id, content, COUNT(*) AS times_sent FROM sent GROUP BY ALL)
     "index_upsert": _indexed(
         f"SELECT product_id, {_DOC}, stock, arrival_ts AS indexed_at FROM idx"
     ),
+    "index_table": _indexed(f"SELECT product_id, {_DOC}, stock, arrival_ts AS indexed_at FROM idx"),
+    "index_table_lookup": _indexed(f"SELECT {_READ} FROM idx WHERE product_id = 'product-7'"),
+    "index_requests": _indexed(f"""
+SELECT bucket, request, COUNT(*) AS updates, MIN(product_id) AS first_id, MAX(product_id) AS last_id,
+       CAST(2 * COUNT(*) AS INTEGER) AS lines
+FROM (SELECT *, CAST((ROW_NUMBER() OVER (PARTITION BY bucket ORDER BY product_id) - 1) // 20 AS INTEGER) AS request
+      FROM (SELECT product_id, CAST({_CRC} % 4 AS INTEGER) AS bucket FROM idx))
+GROUP BY bucket, request"""),
     "pipeline_from_messages": _sql(
         _MESSAGE_EVENTS, _CDC_TEXTS, _CDC_PARSED, _PRICE_TEXTS, _PRICE_PARSED, _STOCK_TEXTS, _STOCK_PARSED,
         _MESSAGE_CHANGES, _joins(), _SENT, _INDEX,

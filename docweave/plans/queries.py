@@ -23,12 +23,13 @@ from docweave.operators.enrich import (
     without_payload,
 )
 from docweave.operators.expiry import lifecycle, lifecycle_documents
-from docweave.operators.running import Layout, by_history_length
+from docweave.operators.running import Layout, by_history_length, checkpointed, new_folder
 from docweave.operators.stock_map import attach_stock_map
 from docweave.plans import message_fixture as messages
 from docweave.plans.event_fixture import change_events
 from docweave.sources import changes as C
 from docweave.sources import parse
+from docweave.streaming.index_table import IndexTable
 from docweave.streaming.job import parsed_changes
 from docweave import schemas as S
 
@@ -97,12 +98,27 @@ def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted_events(change_events(spark, sf_dir))
 
 
-def _index(spark: SparkSession, sf_dir: str, product_id: str | None = None) -> DataFrame:
-    """Without expiry each document has the whole stock map, so the last one is the merged one."""
+def _index(spark: SparkSession, sf_dir: str, product_id: str | None = None, with_map: bool = False) -> DataFrame:
+    """The last document sent of each product; the stock map comes from the stock events alone, as no state expires."""
     changes = change_events(spark, sf_dir)
     if product_id is not None:
         changes = changes.filter(F.col("product_id") == product_id)
-    return index.last_documents(emitted(by_history_length(changes, _mapped_history)))
+    return _last_of(changes, with_map)
+
+
+def _last_of(changes: DataFrame, with_map: bool) -> DataFrame:
+    sent = emitted(by_history_length(changes, document_history))
+    return index.last_documents(sent, snapshot.stock_totals(changes) if with_map else None)
+
+
+def _stored_index(spark: SparkSession, sf_dir: str, batches: int) -> IndexTable:
+    """The documents sent, upserted into a table in so many batches of the arrival order."""
+    table = IndexTable(spark, new_folder(spark), buckets=8)
+    sent = checkpointed(emitted(_history_with_map(spark, sf_dir)).withColumn("position", F.col("seq")))
+    last = sent.agg(F.max("seq")).first()[0]
+    for n in range(batches if last is not None else 0):
+        table.apply(sent.filter((F.col("seq") * batches >= n * (last + 1)) & (F.col("seq") * batches < (n + 1) * (last + 1))), n)
+    return table
 
 
 # ------------------------------------------------------------------- sources
@@ -327,7 +343,28 @@ def ttl_outcomes(spark, sf_dir):
 
 @query
 def index_upsert(spark, sf_dir):
-    return _index(spark, sf_dir).select("product_id", *DOC, "stock_by_warehouse", "indexed_at")
+    return _index(spark, sf_dir, with_map=True).select("product_id", *DOC, "stock_by_warehouse", "indexed_at")
+
+
+@query
+def index_table(spark, sf_dir):
+    """The stored table after three batches of upserts, each folded into the buckets it touches."""
+    rows = _stored_index(spark, sf_dir, 3).documents()
+    return rows.select("product_id", *DOC, "stock_by_warehouse", "indexed_at")
+
+
+@query
+def index_table_lookup(spark, sf_dir):
+    """A document by its key, from the one bucket that can hold it."""
+    return _stored_index(spark, sf_dir, 1).lookup("product-7")
+
+
+@query
+def index_requests(spark, sf_dir):
+    """Bulk requests of at most 20 updates."""
+    made = index.bulk_requests(_index(spark, sf_dir, with_map=True), "products", 20, buckets=4)
+    lines = F.size(F.split("body", "\n")) - 1
+    return made.select("bucket", "request", "updates", "first_id", "last_id", lines.alias("lines"))
 
 
 @query
@@ -338,7 +375,8 @@ def pipeline_from_messages(spark, sf_dir):
         messages.price_messages(spark, sf_dir),
         messages.stock_messages(spark, sf_dir),
     )
-    documents = index.last_documents(emitted(by_history_length(changes, _mapped_history)))
+    # Each message is parsed once: what follows counts and reads the stored changes.
+    documents = _last_of(checkpointed(changes), with_map=True)
     return documents.select("product_id", "category", "brand", *DOC, "stock_by_warehouse", "indexed_at")
 
 
@@ -359,7 +397,7 @@ def index_typed(spark, sf_dir):
 
 @query
 def doc_json(spark, sf_dir):
-    return index.document_json(_index(spark, sf_dir))
+    return index.document_json(_index(spark, sf_dir, with_map=True))
 
 
 @query

@@ -51,10 +51,18 @@ def test_columns_are_pruned(spark, name):
     assert "value" not in schema
 
 
-def test_lookup_reads_one_product_and_count_builds_no_map(spark):
+def test_lookup_reads_one_product(spark):
     text = plan(spark, "doc_lookup")
-    assert re.search(r"Filter .*product-7", text[text.rindex("MapInArrow") :])
-    assert "InArrow" not in plan(spark, "doc_count")
+    assert re.search(r"Filter .*product-7", text[text.rindex("Window") :])
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["index_upsert", "index_typed", "doc_json", "doc_lookup", "doc_count", "docs_complete", "doc_sample", "latency_oldest",
+     "latency_newest", "index_requests", "pipeline_from_messages"],
+)
+def test_the_index_needs_no_python(spark, name):
+    assert not re.search("InArrow|Python|Pandas", plan(spark, name))
 
 
 def test_no_cross_joins_and_no_broadcast_without_long_keys(spark):
