@@ -59,12 +59,36 @@ class Settings:
 
     def jdbc_options(self) -> dict[str, str]:
         return {
-            "url": f"jdbc:postgresql://{self.text('pg.host')}:{self.number('pg.port')}/{self.text('pg.database')}",
+            "url": f"jdbc:postgresql://{self.text('pg.host')}:{self.number('pg.port')}/{self.text('pg.database')}"
+            f"?currentSchema={self.text('pg.schema.list')}",
             "user": self.text("pg.username"),
             "password": self.text("pg.password"),
             "dbtable": self.text("pg.table.list"),
         }
 
+    def rejects_options(self) -> dict[str, str]:
+        """Where a Kafka sink puts rejected messages."""
+        return {"kafka.bootstrap.servers": self.text("kafka.bootstrap.servers"), "topic": self.text("kafka.topic.dlq")}
+
+    def index_options(self) -> dict[str, str]:
+        """A search index as a sink of documents, by the options of its Spark connector."""
+        return {
+            "es.nodes": self.text("es.host"),
+            "es.port": self.text("es.port"),
+            "es.resource": self.text("es.index.name"),
+            "es.mapping.id": "product_id",
+            "es.write.operation": "upsert",
+            "es.batch.size.entries": self.text("es.bulk.flush.max.actions"),
+        }
+
+    @property
+    def state_options(self) -> dict[str, str]:
+        """Session settings: each batch stores its changes of state, whole snapshots follow at the checkpoint interval."""
+        return {
+            "spark.sql.streaming.stateStore.maintenanceInterval": f"{self.number('checkpoint.interval.ms')}ms",
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        }
+
 
 def _read_properties(path: str) -> dict[str, str]:
     found: dict[str, str] = {}

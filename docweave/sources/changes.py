@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave import schemas as S
+from docweave.operators.running import MAX_ROWS_PER_KEY, by_history_length, checkpointed, running
 from docweave.settings import Settings
 
 
-def _conform(df: DataFrame) -> DataFrame:
-    """All columns of a change row in order; those the stream lacks are null."""
+def _conform(df: DataFrame, *more: str) -> DataFrame:
+    """All columns of a change row in order, those the stream lacks null, and ``more`` columns."""
     have = set(df.columns)
     return df.select(
+        *more,
         *(
             (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in S.CHANGE.fields
@@ -20,17 +22,17 @@ def _conform(df: DataFrame) -> DataFrame:
     )
 
 
-def product_changes(events: DataFrame) -> DataFrame:
+def product_changes(events: DataFrame, *more: str) -> DataFrame:
     kind = F.when(F.col("operation") == "d", F.lit(S.DELETE)).otherwise(F.lit(S.UPSERT))
-    return _conform(events.withColumn("kind", kind))
+    return _conform(events.withColumn("kind", kind), *more)
 
 
-def price_changes(events: DataFrame) -> DataFrame:
-    return _conform(events.withColumn("kind", F.lit(S.PRICE)))
+def price_changes(events: DataFrame, *more: str) -> DataFrame:
+    return _conform(events.withColumn("kind", F.lit(S.PRICE)), *more)
 
 
-def stock_changes(events: DataFrame) -> DataFrame:
-    return _conform(events.withColumn("kind", F.lit(S.STOCK)))
+def stock_changes(events: DataFrame, *more: str) -> DataFrame:
+    return _conform(events.withColumn("kind", F.lit(S.STOCK)), *more)
 
 
 def merge_changes(products: DataFrame, prices: DataFrame, stock: DataFrame) -> DataFrame:
@@ -43,6 +45,32 @@ def merge_changes(products: DataFrame, prices: DataFrame, stock: DataFrame) -> D
     return placed[0].unionByName(placed[1]).unionByName(placed[2])
 
 
+def merge_by_arrival(
+    products: DataFrame, prices: DataFrame, stock: DataFrame, max_rows: int = MAX_ROWS_PER_KEY
+) -> DataFrame:
+    """All three inputs in one order of arrival, though their offsets have nothing to do with each other.
+
+    Each input, and each ``partition`` of it if there is such a column, keeps its own order: a row whose ``arrival_ts`` lies
+    before that of one ahead of it takes the latest so far. Then earlier arrivals come first, and of equal ones
+    products before prices before stock. ``seq`` becomes the place in that order, ``arrival_ts`` the time it is by. The rows
+    are stored, sorted over all tasks; an input of more than ``max_rows`` rows is worked on in blocks.
+    """
+    parts = []
+    for i, (rows, tagged) in enumerate(((products, product_changes), (prices, price_changes), (stock, stock_changes))):
+        part = F.col("partition").cast("string") if "partition" in rows.columns else F.lit("")
+        changes = tagged(rows.withColumn("_part", part), "_part")
+        parts.append(changes.withColumns({"_input": F.lit(i), "_source": F.concat(F.lit(f"{i}-"), "_part")}).drop("_part"))
+    rows = checkpointed(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    rows = by_history_length(
+        rows,
+        lambda r, layout: running(layout.arrange(r), layout, maxes={"arrival_ts": F.col("arrival_ts")}),
+        key="_source", max_rows=max_rows,
+    )
+    order = ["arrival_ts", "_input", "_source", "seq"]
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("seq", F.monotonically_increasing_id())
+    return checkpointed(placed.select(*S.CHANGE.fieldNames()))
+
+
 def table_snapshot(rows: DataFrame, seq: int = -1) -> DataFrame:
     """Rows of the catalogue table as upserts that precede all changes."""
     return _conform(
@@ -68,7 +96,7 @@ def kafka_stream(
     starting: str = "latest",
     max_offsets_per_trigger: int = 5_000_000,
 ) -> DataFrame:
-    """A topic as ``value``, ``seq`` and ``arrival_ts``; needs the Kafka package.
+    """A topic as ``value``, ``partition``, ``seq`` and ``arrival_ts``; needs the Kafka package.
 
     Messages are keyed by product, so one product's rows share a partition and
     their offsets give its arrival order within the topic. The limit per batch
@@ -81,6 +109,7 @@ def kafka_stream(
     )
     return reader.load().select(
         F.col("value").cast("string").alias("value"),
+        F.col("partition"),
         F.col("offset").alias("seq"),
         F.col("timestamp").alias("arrival_ts"),
     )

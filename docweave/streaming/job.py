@@ -23,9 +23,13 @@ _TRIGGERS = {PROCESSING: {"processingTime": "1 second"}, ARRIVAL: {"availableNow
 def parsed_changes(
     catalogue: DataFrame, prices: DataFrame, stock: DataFrame, plain_products: bool = False
 ) -> DataFrame:
-    """Message streams (``seq``, ``arrival_ts``, ``value``) to accepted change rows."""
+    """Messages (``seq``, ``arrival_ts``, ``value``) to accepted change rows in one order of arrival.
+
+    Of streams, the processor brings each product's rows of a micro-batch into that order.
+    """
     parse_product = parse.parse_products if plain_products else parse.parse_catalogue
-    return C.merge_changes(
+    merge = C.merge_changes if catalogue.isStreaming else C.merge_by_arrival
+    return merge(
         parse.accepted(parse_product(catalogue)),
         parse.accepted(parse.parse_prices(prices)),
         parse.accepted(parse.parse_stock(stock)),
@@ -89,16 +93,19 @@ def start(
     clock: str = PROCESSING,
     initial: DataFrame | None = None,
     trigger: dict | None = None,
+    by_arrival: bool = False,
 ) -> StreamingQuery:
     """Starts the query; ``checkpoint`` is a folder all executors share.
 
+    ``by_arrival``: the changes come from inputs whose ``seq`` are unrelated, as those of ``parsed_changes`` do.
+
     A replay stops after the input at hand. With the processing clock the query
     runs on, since timers fall due without input. ``initial`` are the rows of the catalogue
     table: they come first and give documents like any other change.
     """
     if initial is not None:
         changes = changes.unionByName(_as_stream(initial, f"{checkpoint.rstrip('/')}-initial"))
-    events = with_counters(enrich(changes, lifetimes, clock))
+    events = with_counters(enrich(changes, lifetimes, clock, by_arrival))
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         # held, so the stateful plan runs once although the rows are read twice
@@ -121,6 +128,19 @@ def start(
 def start_with_settings(
     changes: DataFrame, table: IndexTable, checkpoint: str, settings: Settings
 ) -> StreamingQuery:
+    """Starts the query with the settings' lifetimes, trigger and state options, which the session keeps."""
+    for name, value in settings.state_options.items():
+        changes.sparkSession.conf.set(name, value)
     hours = settings.number("state.ttl.hours")
     lifetimes = Lifetimes.hours(hours, hours, hours)
-    return start(changes, table, checkpoint, lifetimes, trigger=settings.trigger)
+    return start(changes, table, checkpoint, lifetimes, trigger=settings.trigger, by_arrival=True)
+
+
+def start_rejects_topic(parsed: DataFrame, checkpoint: str, settings: Settings) -> StreamingQuery:
+    """Sends rejected messages to their topic, the reason as a header; needs the Kafka package."""
+    reason = F.struct(F.lit("reject_reason").alias("key"), F.col("reject_reason").cast("binary").alias("value"))
+    return (
+        parse.rejected(parsed).select("value", F.array(reason).alias("headers"))
+        .writeStream.format("kafka").options(**settings.rejects_options())
+        .option("checkpointLocation", checkpoint).trigger(**settings.trigger).start()
+    )

@@ -53,19 +53,26 @@ _HEAD = T.StructType(
 )
 
 
+#: The input that a kind of change comes from, in the order of equal arrivals.
+_INPUT = {S.UPSERT: 0, S.DELETE: 0, S.PRICE: 1, S.STOCK: 2}
+
+
 def _tuples(value: Any) -> Any:
     return tuple(_tuples(v) for v in value) if isinstance(value, list) else value
 
 
 class Enricher(StatefulProcessor):
-    def __init__(self, lifetimes: Lifetimes, clock: str = PROCESSING):
+    def __init__(self, lifetimes: Lifetimes, clock: str = PROCESSING, by_arrival: bool = False):
         """``clock``: processing time, or the arrival time of the rows for a replay.
 
+        ``by_arrival``: ``seq`` orders the rows of one input only, arrival times those of different ones.
+
         A replay sets no timers: its clock stands still between rows, and what
         is due is dropped when the next row of the product arrives.
         """
         self._lifetimes = lifetimes
         self._clock = clock
+        self._by_arrival = by_arrival
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
@@ -74,7 +81,7 @@ class Enricher(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         state = self._load()
         now = self._now(timerValues)
-        for position, row in enumerate(sorted(rows, key=lambda r: r.seq)):
+        for position, row in enumerate(self._in_order(rows)):
             if now is None:
                 state.clock = max(state.clock or row.arrival_ts, row.arrival_ts)
             event = self._event(row, state.clock if now is None else now)
@@ -93,6 +100,19 @@ class Enricher(StatefulProcessor):
 
     # ------------------------------------------------------------------ rows
 
+    def _in_order(self, rows: Iterator[Row]) -> list[Row]:
+        """By ``seq``; or by arrival, where no input's time runs back and equal times go by input."""
+        rows = sorted(rows, key=lambda r: r.seq)
+        if not self._by_arrival:
+            return rows
+        latest: dict[int, int] = {}
+        placed = []
+        for row in rows:
+            of = _INPUT[row.kind]
+            latest[of] = max(latest.get(of, row.arrival_ts), row.arrival_ts)
+            placed.append((latest[of], of, row.seq, row))
+        return [p[-1] for p in sorted(placed, key=lambda p: p[:3])]
+
     def _now(self, timerValues: Any) -> int | None:
         if self._clock == ARRIVAL:
             return None
@@ -190,10 +210,11 @@ def enrich(
     changes: DataFrame,
     lifetimes: Lifetimes,
     clock: str = PROCESSING,
+    by_arrival: bool = False,
 ) -> DataFrame:
     """Change rows to one row per event (``OUTPUT``); needs the RocksDB state store."""
     raw = _in_micros(changes).groupBy("product_id").transformWithState(
-        statefulProcessor=Enricher(lifetimes, clock),
+        statefulProcessor=Enricher(lifetimes, clock, by_arrival),
         outputStructType=_RAW_OUTPUT,
         outputMode="Update",
         timeMode="ProcessingTime" if clock == PROCESSING else "None",

@@ -15,8 +15,9 @@ from docweave.operators import index
 from docweave.operators.expiry import lifecycle, lifecycle_documents
 from docweave.operators.snapshot import latest_documents
 from docweave.plans.event_fixture import change_events
-from docweave.settings import DEFAULTS, load_settings
+from docweave.settings import DEFAULTS, Settings, load_settings
 from docweave.sources import parse
+from docweave.sources.changes import merge_by_arrival
 from docweave.streaming import progress
 from docweave.streaming.index_table import IndexTable
 from docweave.streaming.job import parsed_changes, start, start_quarantine
@@ -97,7 +98,7 @@ def test_messages_end_to_end(spark, tmp_path):
     )
     streams = [read(spark, tmp_path / n, MESSAGES) for n in ("catalogue", "prices", "stock")]
     table = IndexTable(spark, str(tmp_path / "index"))
-    run(start(parsed_changes(*streams), table, str(tmp_path / "cp"), Lifetimes(), ARRIVAL))
+    run(start(parsed_changes(*streams), table, str(tmp_path / "cp"), Lifetimes(), ARRIVAL, by_arrival=True))
     found = index.lookup(table.documents(), "p1").collect()
     assert len(found) == 1
     assert (found[0].name, float(found[0].price), found[0].total_stock) == ("Widget", 19.99, 350)
@@ -105,6 +106,62 @@ def test_messages_end_to_end(spark, tmp_path):
     assert index.lookup(table.documents(), "p2").collect() == []
 
 
+def unrelated_offsets(spark, tmp_path=None):
+    """Two prices at offsets 3 and 4, days apart, and a catalogue row at offset 5000 that came an hour after the first."""
+    at = lambda days, hours=0: NOW + timedelta(days=days, hours=hours)
+    iso = lambda t: t.strftime("%Y-%m-%dT%H:%M:%SZ")
+    price = lambda p, t: json.dumps({"productId": "p1", "price": p, "currency": "USD", "updatedAt": iso(t)})
+    stock = json.dumps({"productId": "p1", "warehouseId": "w", "quantity": 5, "updatedAt": iso(at(0, 2))})
+    row = {"op": "c", "after": {"product_id": "p1", "name": "Widget", "updated_at": 1714525200000}}
+    made = {
+        "catalogue": [(5000, at(0, 1), json.dumps(row))],
+        "prices": [(3, at(0), price(1.0, at(0))), (4, at(3), price(2.0, at(3)))],
+        "stock": [(90_000, at(0, 2), stock)],
+    }
+    if tmp_path is None:
+        return [spark.createDataFrame(rows, MESSAGES) for rows in made.values()]
+    for name, rows in made.items():
+        write(spark, tmp_path / name, rows, MESSAGES)
+    return [read(spark, tmp_path / name, MESSAGES) for name in made]
+
+
+def test_arrival_orders_unrelated_inputs(spark, tmp_path):
+    """The product has its own clock, and the document of day 0 is complete; in batch and in the stream."""
+    day = Lifetimes.hours(24, 24, 24)
+    changes = parsed_changes(*unrelated_offsets(spark))
+    rows = lifecycle_documents(lifecycle(changes, day)).orderBy("seq").collect()
+    seen = [(r.kind, r.arrival_ts - NOW, r.name, None if r.price is None else float(r.price), r.total_stock) for r in rows]
+    hours = lambda h: timedelta(hours=h)
+    assert seen == [
+        ("R", hours(0), None, 1.0, None), ("P", hours(1), "Widget", 1.0, None), ("S", hours(2), "Widget", 1.0, 5), ("R", hours(72), None, 2.0, None),
+    ]
+    table = IndexTable(spark, str(tmp_path / "index"), buckets=2)
+    streams = parsed_changes(*unrelated_offsets(spark, tmp_path))
+    run(start(streams, table, str(tmp_path / "cp"), day, ARRIVAL, by_arrival=True))
+    found = table.lookup("p1").first()
+    assert (found.name, float(found.price), found.indexed_at) == (None, 2.0, NOW + hours(72))
+    assert table.documents().first().stock_by_warehouse == {"w": 5}
+
+
+@pytest.mark.parametrize("max_rows", [1000, 8], ids=["whole", "blocked"])
+def test_an_input_keeps_its_own_order(spark, max_rows):
+    """Also where its arrival times step back; partitions of a topic are apart."""
+    rng = random.Random(2)
+    tables, expected = [], []
+    for i, kind in enumerate(("P", "R", "S")):
+        rows = [(part, n, NOW + timedelta(minutes=3 * n + rng.randrange(-9, 9)), f"p{rng.randrange(3)}{part}") for part in range(2) for n in range(30)]
+        schema = "partition int, seq long, arrival_ts timestamp, product_id string"
+        tables.append(spark.createDataFrame(rows, schema).withColumn("operation", F.lit("u")))
+        for part in range(2):
+            clock = datetime.min
+            for _, n, at, product in (r for r in rows if r[0] == part):
+                clock = max(clock, at)
+                expected.append((clock, i, part, n, kind, product))
+    got = merge_by_arrival(*tables, max_rows=max_rows).orderBy("seq").collect()
+    assert [(r.arrival_ts, r.kind, r.product_id) for r in got] == [(e[0], e[4], e[5]) for e in sorted(expected)]
+    assert len({r.seq for r in got}) == len(got)
+
+
 def change(seq, kind, product, **fields):
     row = dict.fromkeys(S.CHANGE.fieldNames())
     row.update(seq=seq, kind=kind, product_id=product, arrival_ts=NOW, **fields)
@@ -265,6 +322,21 @@ def test_settings(tmp_path):
     assert "15432" in settings.jdbc_options()["url"]
     assert settings.kafka_options("kafka.topic.prices")["startingOffsets"] == "latest"
     assert load_settings(env={}).values == DEFAULTS
+    # Every setting is read by something.
+    read = set()
+
+    class Watched(dict):
+        def __getitem__(self, name):
+            read.add(name)
+            return super().__getitem__(name)
+
+    watched = Settings(Watched(DEFAULTS))
+    for topic in ("kafka.topic.prices", "kafka.topic.stock"):
+        watched.kafka_options(topic)
+    made = [watched.jdbc_options(), watched.rejects_options(), watched.index_options(), watched.state_options, watched.trigger, watched.ttl_ms]
+    assert read == set(DEFAULTS)
+    assert made[0]["url"].endswith("?currentSchema=public") and made[2]["es.batch.size.entries"] == "500"
+    assert made[3]["spark.sql.streaming.stateStore.maintenanceInterval"] == "60000ms"
 
 
 def test_wire_prices_have_no_exponent(spark):
