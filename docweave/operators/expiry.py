@@ -67,11 +67,14 @@ def lifecycle(
     The clock of a product never runs back: an event that arrives with an earlier
     ``arrival_ts`` than one before it takes the latest so far, in either form and in the stream.
     """
+    # Where only the second stage forgets, every row renews the timer and windows do.
+    by_windows = lifetimes.pair is None and lifetimes.sent is None
+    whole = _by_windows if by_windows else _streamed
     return by_history_length(
         changes,
-        lambda rows, layout: _streamed(rows, layout, lifetimes),
+        lambda rows, layout: whole(rows, layout, lifetimes),
         max_rows=max_rows,
-        compute_long=lambda rows, layout: _blocked(rows, layout, lifetimes),
+        compute_long=lambda rows, layout: _by_windows(rows, layout, lifetimes),
     )
 
 
@@ -152,15 +155,15 @@ def _streamed(changes: DataFrame, layout: Layout, lifetimes: Lifetimes) -> DataF
     return rows.mapInArrow(fold, LIFECYCLE)
 
 
-# ------------------------------------------------------------------ long histories
+# ------------------------------------------------------- long histories, and windows
 
 
-def _blocked(changes: DataFrame, layout: Layout, lifetimes: Lifetimes) -> DataFrame:
+def _by_windows(changes: DataFrame, layout: Layout, lifetimes: Lifetimes) -> DataFrame:
     changes = _with_steady_clock(layout.arrange(changes), layout)
     pairs = _expiring_pairs(changes, layout, lifetimes)
     inputs = pairs.filter("accepted").unionByName(
         changes.filter(F.col("kind") == S.STOCK).select(
-            "seq", "arrival_ts", "product_id", "kind", "updated_at", BLOCK, "warehouse_id", "quantity"
+            "seq", "arrival_ts", "product_id", "kind", "updated_at", *layout.group[1:], "warehouse_id", "quantity"
         ),
         allowMissingColumns=True,
     )
@@ -186,7 +189,8 @@ def _expiring_pairs(changes: DataFrame, layout: Layout, lifetimes: Lifetimes) ->
         channel=F.when(F.col("kind") == S.PRICE, 1).otherwise(0),
     )
     rows = pair_history(rows, layout, extra_reset=F.col("_expired"))
-    return checkpointed(rows.drop("_expired", "epoch"))
+    rows = rows.drop("_expired", "epoch")
+    return checkpointed(rows) if layout.blocked else rows
 
 
 def _expiring_documents(inputs: DataFrame, layout: Layout, lifetimes: Lifetimes) -> DataFrame:

@@ -50,7 +50,8 @@ def _is_container(text: Column, json: Column, *path: str) -> Column:
     """
     value = F.try_variant_get(F.try_parse_json(json), "$." + ".".join(path), "variant")
     kind = F.schema_of_variant(value)
-    return F.coalesce(text.rlike(r"^\s*[\[{]"), F.lit(False)) & F.coalesce(kind.rlike("^(OBJECT|ARRAY)"), F.lit(False))
+    # In a branch, so that no other message is parsed for it.
+    return F.coalesce(F.when(text.rlike(r"^\s*[\[{]"), kind.rlike("^(OBJECT|ARRAY)")), F.lit(False))
 
 
 def _number(text: Column, pattern: str, kind: str) -> Column:
