@@ -22,6 +22,7 @@ from docweave.streaming import progress
 from docweave.streaming.index_table import IndexTable
 from docweave.streaming.job import parsed_changes, start, start_quarantine
 from docweave.streaming.processor import ARRIVAL
+from docweave.streaming.state import kept_state
 
 NOW = datetime(2024, 5, 1)
 MESSAGES = "seq bigint, arrival_ts timestamp, value string"
@@ -71,6 +72,38 @@ def test_replay_with_restart_equals_batch(spark, tmp_path):
     assert table.lookup(one).collect() == index.lookup(expected, one).collect()
 
 
+def test_state_equals_the_latest_documents(spark, tmp_path):
+    """Read back with the state data source after a replay in two runs; the progress of all batches is kept."""
+    changes = change_events(spark, "/root/testdata/sf0.001")
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    kept = progress.ProgressHistory(spark, str(tmp_path / "progress"), every=2)
+    spark.streams.addListener(kept)
+    try:
+        for first in (0, 510):
+            for low in range(first, first + 510, 170):  # one file each, in the order of arrival
+                rows = changes.filter((F.col("seq") >= low) & (F.col("seq") < low + 170))
+                rows.coalesce(1).write.mode("append").parquet(source)
+            table = IndexTable(spark, str(tmp_path / "index"), buckets=2)
+            run(start(read(spark, source, S.CHANGE), table, checkpoint, Lifetimes(), ARRIVAL))
+        limit = time.time() + 30
+        while len(kept._rows) + kept.history().count() < 6 and time.time() < limit:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(kept)
+        kept.flush()
+    seen = spark.read.parquet(source)
+    history = kept.history().collect()
+    assert sum(r.rows for r in history) == seen.count() and len({r.batch_id for r in history}) >= 6
+    assert all(r.checkpoint_ms >= 0 and r.sources[0].rows == r.rows for r in history)
+    assert sum(r.counters.get("events_processed_stock", 0) for r in history) == seen.filter("kind = 'S'").count()
+    fields = ["product_id", "name", "price", "currency", "last_product_update", "last_price_update", "total_stock", "last_stock_update"]
+
+    def shown(df):
+        return sorted(map(str, df.select(*fields, F.sort_array(F.map_entries(F.coalesce("stock_by_warehouse", F.create_map().cast("map<string,int>"))))).collect()))
+
+    assert shown(kept_state(spark, checkpoint)) == shown(latest_documents(seen))
+
+
 def test_messages_end_to_end(spark, tmp_path):
     """Bad messages are dropped and the rest of the stream goes on."""
     at = NOW.strftime("%Y-%m-%dT%H:%M:%SZ")
