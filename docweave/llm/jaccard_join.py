@@ -16,8 +16,8 @@ Only the overlap of what remains is counted in full, on the whole sets.
 A shingle with many classes would give the square of their number, so its cells are not
 multiplied outright; their number per class only widens the bound. Instead
 
-1. every class of such a group is paired with the group's *pivot*, the class with the fewest
-   rarer shingles, that is, the least edited one;
+1. every class of such a group is paired with the group's *pivot*, the class with the smallest share
+   of shingles in its prefix that few others have, that is, the least edited one;
 2. what is not in the pivot's component then is paired with the rest of the group.
 
 So a group of near copies gives rows in proportion to its size. Links inside one
@@ -47,7 +47,7 @@ FREQUENT = 1 << 19
 #: Tasks over which the cells of a frequent shingle are dealt.
 SALTS = 32
 #: Classes of a shingle that are paired outright; larger groups go by way of their pivot.
-PAIRED = 8
+PAIRED = 16
 
 
 def class_key(members: np.ndarray) -> np.uint64:
@@ -299,9 +299,9 @@ def jaccard_classes(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
         "shingle", F.col("a").alias("key"), F.col("n_a").alias("n"), F.col("place_a").alias("place"), F.col("wide_a").alias("wide")
     )
     cells = cells.join(wider, "key", "left").withColumn("wide", F.col("wide") + F.coalesce("wider", F.lit(0))).drop("wider")
-    pivots = cells.groupBy("shingle").agg(
-        F.min(F.struct((F.col("place") / F.col("n")).alias("part"), "key", "n", "wide")).alias("pivot")
-    )
+    # One order of classes for all shingles: copies of a text share most groups and so their pivot, and give few pairs.
+    rarer = F.col("n") - F.ceil(F.col("n") * t.numerator / t.denominator) + 1 - F.col("wide")
+    pivots = cells.groupBy("shingle").agg(F.min(F.struct((rarer / F.col("n")).alias("part"), "key", "n", "wide")).alias("pivot"))
     starred = cells.join(pivots, "shingle").filter(F.col("key") != F.col("pivot.key")).select(
         F.col("pivot.key").alias("a"), F.col("key").alias("b"), F.col("pivot.n").alias("n_a"), F.col("n").alias("n_b"),
         F.col("pivot.wide").alias("wide_a"), F.col("wide").alias("wide_b"),
