@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from docweave import schemas as S
 from docweave.functions.columns import stock_text
 from docweave.functions.lifecycle import Lifetimes
-from docweave.operators import reports, snapshot
+from docweave.operators import expiry, reports, snapshot
 from docweave.operators.enrich import counted_events, document_history, without_payload
 from docweave.operators.expiry import expired_rows, lifecycle
 from docweave.operators.running import BLOCK, Layout, by_history_length, long_keys
@@ -161,6 +161,14 @@ def test_unlike_lifetimes_agree(spark):
     assert shown(lifecycle(changes, lifetimes, max_rows=64)) == shown(whole)
 
 
+def test_second_stage_by_windows(spark):
+    """Where only stock and handed pairs are forgotten: windows, blocks and the fold agree."""
+    changes, lifetimes = frame(spark, make_rows(12, 700, True)), Lifetimes.hours(stock=9)
+    folded = shown(expiry._streamed(changes, Layout(), lifetimes))
+    for max_rows in (10_000, 64):
+        assert shown(lifecycle(changes, lifetimes, max_rows=max_rows)) == folded
+
+
 def timer_rows(seed, n, lifetime):
     """(key, seq, now, version, channel) of three keys; versions rise, fall, repeat or clear, in one channel or two."""
     rng = random.Random(seed)
