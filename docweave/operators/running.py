@@ -21,17 +21,20 @@ from pyspark.sql.window import Window
 
 #: Rows of one key that one task may hold.
 MAX_ROWS_PER_KEY = 4_000_000
+#: Rows of a large table that a task gets, about.
+ROWS_PER_TASK = 500_000
 BLOCK = "_block"
 _CARRY = "_carry"
 
 
 @dataclass(frozen=True)
 class Layout:
-    """How the histories of a DataFrame are laid out over tasks."""
+    """How the histories of a DataFrame are laid out over tasks, ``parts`` of them if that is given."""
 
     key: str = "product_id"
     order: str = "seq"
     width: int | None = None
+    parts: int | None = None
 
     @property
     def blocked(self) -> bool:
@@ -44,10 +47,14 @@ class Layout:
     def arrange(self, df: DataFrame) -> DataFrame:
         """One exchange for all windows of whole histories; block numbers for long ones."""
         if not self.blocked:
-            return df.repartition(self.key)
+            return self.dealt(df)
         start = F.col(self.order) - F.pmod(F.col(self.order), F.lit(self.width))
         return df.withColumn(BLOCK, start.cast("bigint"))
 
+    def dealt(self, df: DataFrame) -> DataFrame:
+        """One exchange by history or block."""
+        return df.repartition(*([self.parts] if self.parts else []), *self.group)
+
 
 def long_keys(df: DataFrame, key: str = "product_id", max_rows: int = MAX_ROWS_PER_KEY) -> DataFrame | None:
     """Keys with more rows than one task should hold; None if there are none.
@@ -56,13 +63,20 @@ def long_keys(df: DataFrame, key: str = "product_id", max_rows: int = MAX_ROWS_P
     ``max_rows`` rows; it stays a table. A table no larger than the limit needs no
     count by key, and its row count reads no column.
     """
-    if df.count() <= max_rows:
-        return None
+    return None if df.count() <= max_rows else _longer_than(df, key, max_rows)
+
+
+def _longer_than(df: DataFrame, key: str, max_rows: int) -> DataFrame | None:
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     keys = checkpointed(counts.filter(F.col("n") > max_rows).select(key))
     return None if keys.isEmpty() else keys
 
 
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """The number of tasks for so many rows, so that none gets more as the table grows."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_TASK))
+
+
 def by_history_length(
     df: DataFrame,
     compute: Callable[[DataFrame, Layout], DataFrame],
@@ -73,13 +87,19 @@ def by_history_length(
     """``compute`` on whole histories, and on blocks of those that are too long.
 
     Give it all rows and let ``compute`` filter: an unfiltered count of a columnar
-    table reads no data.
+    table reads no data. More than ``max_rows`` rows are dealt to tasks by their number. The
+    long keys go to every task, at most one in ``max_rows`` rows: dealt by key, all rows of one would meet.
     """
-    keys = long_keys(df, key, max_rows)
-    if keys is None:
+    rows = df.count()
+    if rows <= max_rows:
         return compute(df, Layout(key))
-    blocked = Layout(key, width=max_rows)
-    short = compute(df.join(keys, key, "left_anti"), Layout(key))
+    parts = tasks_for(df.sparkSession, rows)
+    keys = _longer_than(df, key, max_rows)
+    if keys is None:
+        return compute(df, Layout(key, parts=parts))
+    blocked = Layout(key, width=max_rows, parts=parts)
+    keys = F.broadcast(keys)
+    short = compute(df.join(keys, key, "left_anti"), Layout(key, parts=parts))
     long = (compute_long or compute)(df.join(keys, key, "left_semi"), blocked)
     return short.unionByName(long.drop(BLOCK))
 
@@ -120,7 +140,7 @@ def running(
                 F.lit(True).alias(_CARRY),
             )
         )
-        rows = rows.withColumn(_CARRY, F.lit(False)).unionByName(carries, allowMissingColumns=True)
+        rows = layout.dealt(rows.withColumn(_CARRY, F.lit(False)).unionByName(carries, allowMissingColumns=True))
 
     along = Window.partitionBy(*part).orderBy(layout.order)
     upto = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -93,7 +93,7 @@ def attach_stock_map(rows: DataFrame, layout: Layout, segment: Column | None = N
         rows = rows.withColumn(_CARRY, F.lit(False)).unionByName(
             _carries(rows, layout), allowMissingColumns=True
         )
-        rows = rows.repartition(*layout.group)
+        rows = layout.dealt(rows)
     folded = _fold(rows.sortWithinPartitions(*layout.group, layout.order), layout.group)
     if layout.blocked:
         folded = folded.filter(~F.col(_CARRY)).drop(_CARRY)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docweave import schemas as S
-from docweave.operators.running import MAX_ROWS_PER_KEY, by_history_length, checkpointed, running
+from docweave.operators.running import ROWS_PER_TASK, by_history_length, checkpointed, running, tasks_for
 from docweave.settings import Settings
 
 
@@ -46,7 +46,7 @@ def merge_changes(products: DataFrame, prices: DataFrame, stock: DataFrame) -> D
 
 
 def merge_by_arrival(
-    products: DataFrame, prices: DataFrame, stock: DataFrame, max_rows: int = MAX_ROWS_PER_KEY
+    products: DataFrame, prices: DataFrame, stock: DataFrame, max_rows: int = ROWS_PER_TASK
 ) -> DataFrame:
     """All three inputs in one order of arrival, though their offsets have nothing to do with each other.
 
@@ -61,13 +61,15 @@ def merge_by_arrival(
         changes = tagged(rows.withColumn("_part", part), "_part")
         parts.append(changes.withColumns({"_input": F.lit(i), "_source": F.concat(F.lit(f"{i}-"), "_part")}).drop("_part"))
     rows = checkpointed(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    number = rows.count()
     rows = by_history_length(
         rows,
         lambda r, layout: running(layout.arrange(r), layout, maxes={"arrival_ts": F.col("arrival_ts")}),
         key="_source", max_rows=max_rows,
     )
     order = ["arrival_ts", "_input", "_source", "seq"]
-    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("seq", F.monotonically_increasing_id())
+    dealt = [tasks_for(rows.sparkSession, number)] if number > max_rows else []
+    placed = rows.repartitionByRange(*dealt, *order).sortWithinPartitions(*order).withColumn("seq", F.monotonically_increasing_id())
     return checkpointed(placed.select(*S.CHANGE.fieldNames()))
 
 

@@ -3,8 +3,9 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from docweave.operators.running import by_history_length
+from docweave.operators.running import by_history_length, running
 from docweave.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -86,3 +87,25 @@ def test_blocks_bound_the_rows_of_a_task(spark):
 
     by_history_length(changes, lambda r, layout: r, max_rows=100, compute_long=compute)
     assert seen == {"group": ["product_id", "_block"], "largest": 100}
+
+
+def test_rows_of_long_keys_do_not_meet(spark):
+    """Long histories are picked out where their rows are, and a large table gets tasks by its rows."""
+    changes = spark.range(0, 1000, 1, 8).selectExpr("id AS seq", "'hot' AS product_id", "timestamp_seconds(id) AS at")
+
+    def largest(df):
+        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    picked = by_history_length(changes, lambda r, layout: r, max_rows=100)
+    assert largest(picked) <= 125
+    spread = by_history_length(
+        changes, lambda r, layout: running(layout.arrange(r), layout, maxes={"latest": F.col("at")}), max_rows=100
+    )
+    assert [r.latest for r in spread.orderBy("seq").collect()] == [r["at"] for r in changes.orderBy("seq").collect()]
+
+
+def test_tasks_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr("docweave.operators.running.ROWS_PER_TASK", 50)
+    changes = spark.range(1000).selectExpr("id AS seq", "concat('p', id % 40) AS product_id")
+    made = by_history_length(changes, lambda r, layout: layout.arrange(r), max_rows=100)
+    assert made.rdd.getNumPartitions() == 20
