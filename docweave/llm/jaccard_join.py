@@ -46,8 +46,10 @@ BLOCK_SHINGLES = 1 << 21
 FREQUENT = 1 << 19
 #: Tasks over which the cells of a frequent shingle are dealt.
 SALTS = 32
+#: Documents with a shingle in their prefix from which on it is put behind rarer ones.
+COMMON = 8
 #: Classes of a shingle that are paired outright; larger groups go by way of their pivot.
-PAIRED = 64
+PAIRED = 16
 
 
 def class_key(members: np.ndarray) -> np.uint64:
@@ -106,12 +108,16 @@ def _scan(size: int):
     return scan
 
 
-def _prefixes(size: int, t: Fraction, shared):
-    """The prefix cells of each class: shingle, class, set size, place, whether the shingle is frequent, and how many are."""
+def _prefixes(size: int, t: Fraction, shared, common=None):
+    """The prefix cells of each class: shingle, class, set size, place, whether the shingle is frequent, and how many are.
+
+    Without the filter of ``common`` shingles, only the shingles, to find these.
+    """
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, rank = (np.frombuffer(x, np.int64) for x in shared.value)
         listed = listed.view(np.uint64)
+        bits = None if common is None else np.frombuffer(common.value, np.uint8)
         known: set[int] = set()
         for batch in batches:
             out = [[], [], [], [], [], []]
@@ -125,18 +131,27 @@ def _prefixes(size: int, t: Fraction, shared):
                     at = np.minimum(np.searchsorted(listed, members), len(listed) - 1)
                     often = listed[at] == members
                     last = members[often][np.argsort(rank[at[often]])]
-                    members = np.concatenate([members[~often], last])
-                    rare = n - len(last)
+                    members = members[~often]
                 else:
-                    rare = n
+                    last = members[:0]
+                if bits is not None:
+                    behind = let_through(bits, members.view(np.int64))
+                    members = np.concatenate([members[~behind], members[behind]])
+                members = np.concatenate([members, last])
+                rare = n - len(last)
                 p = n + (-n * t.numerator // t.denominator) + 1  # n - ceil(t n) + 1
+                if bits is None:
+                    out[0].append(members[: p + p // 2])  # what comes into the prefixes once common ones are put behind counts too
+                    continue
                 out[0].append(members[:p])
                 out[1].append(np.full(p, key, np.uint64))
                 out[2].append(np.full(p, n, np.int32))
                 out[3].append(np.arange(p, dtype=np.int32))
                 out[4].append(np.arange(p) >= rare)
                 out[5].append(np.full(p, max(p - rare, 0), np.int32))
-            if out[0]:
+            if out[0] and bits is None:
+                yield pa.record_batch([pa.array(np.concatenate(out[0]).view(np.int64))], names=["shingle"])
+            elif out[0]:
                 columns = [np.concatenate(x) for x in out]
                 yield pa.record_batch(
                     [pa.array(columns[0].view(np.int64)), pa.array(columns[1].view(np.int64)), *map(pa.array, columns[2:])],
@@ -284,8 +299,10 @@ def jaccard_classes(docs: DataFrame, size: int = 5, threshold: Fraction = Fracti
     rank = (len(listed) - 1 - np.arange(len(listed)))[order]
     shared = spark.sparkContext.broadcast((listed[order].tobytes(), rank.astype(np.int64).tobytes()))
 
+    counted = texts.select("text").mapInArrow(_prefixes(size, t, shared), "shingle long").groupBy(F.col("shingle").alias("key"))
+    common = spark.sparkContext.broadcast(bitmap(counted.count().filter(F.col("count") > COMMON)).tobytes())
     cells = texts.select("text").mapInArrow(
-        _prefixes(size, t, shared), "shingle long, key long, n int, place int, often boolean, wide int"
+        _prefixes(size, t, shared, common), "shingle long, key long, n int, place int, often boolean, wide int"
     )
     # One pass and one shuffle; the cells of frequent shingles, which are kept as they are, are dealt out.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))

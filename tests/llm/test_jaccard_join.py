@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+import docweave.llm.jaccard_join as jaccard_join_module
 from docweave.llm.jaccard_join import jaccard_join, one_of_each
 from docweave.llm.queries import QUERIES
 from docweave.llm.tables import components
@@ -122,3 +123,25 @@ def test_components_of_long_chains(spark):
     found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
     assert {k: v for k, v in found.items() if k != 300} == want
+
+
+def test_rows_of_shared_passages_and_copies(spark, monkeypatch):
+    """A passage in unlike texts that are far apart gives no pair for each two of them; copies are still found."""
+    made, write = [], jaccard_join_module.stored
+
+    def stored(df):
+        out = write(df)
+        if "place_a" in out.columns:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join_module, "stored", stored)
+    passage = " ".join(f"shared{w}" for w in range(25))
+    rows = [(k, " ".join(f"own{k}x{w}" for w in range(60)) + " " + passage) for k in range(40)]
+    text = [f"copied{w}" for w in range(80)]
+    rows += [(100 + k, " ".join(text[:k] + [f"edit{k}"] + text[k + 1 :])) for k in range(30)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join(docs).collect()}
+    assert got == {d: min(d, 100) for d, _ in rows}
+    cells = len(rows) * 18
+    assert made[0] <= 2 * cells
