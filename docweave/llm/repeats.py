@@ -45,10 +45,10 @@ _U = np.uint64
 
 
 class Documents:
-    """Some documents end to end, each followed by zeros, as bytes."""
+    """The anchors of some documents, only those that the filter ``bits`` lets through if there is one; ``count`` counts all."""
 
-    def __init__(self, length: int):
-        self.length, self.margin = length, length - GRAM
+    def __init__(self, length: int, bits: np.ndarray | None = None):
+        self.length, self.margin, self.bits = length, length - GRAM, bits
         self.parts: list[np.ndarray] = []
         self.size = self.count = 0
         self.columns: list[list[np.ndarray]] = [[] for _ in range(6)]
@@ -63,12 +63,15 @@ class Documents:
         for at in range(0, n - GRAM + 1, _SLICE):
             to = min(at + _SLICE, n - GRAM + 1)
             place, gram = _anchors(words[self.margin :], at, to, n - GRAM + 1, self.margin + 1)
+            self.count += len(place)
+            if self.bits is not None:
+                kept = let_through(self.bits, gram.view(np.int64))
+                place, gram = place[kept], gram[kept]
             right = np.minimum(self.length, n - place)
             context = self._contexts(words, place, right)
             columns = (gram, context, np.full(len(place), number), np.full(len(place), twin), place.astype(np.int64), right.astype(np.int32))
             for held, column in zip(self.columns, columns, strict=True):
                 held.append(column)
-            self.count += len(place)
 
     def _contexts(self, words: np.ndarray, place: np.ndarray, right: np.ndarray) -> np.ndarray:
         """A hash of the bytes around each place: ``margin`` before it, ``length`` from it on, zeros beyond the ends."""
@@ -78,7 +81,7 @@ class Documents:
 
     def classes(self) -> tuple[list[np.ndarray], np.ndarray]:
         """All anchors in the order of gram, context and place, and which are the first of their context."""
-        if not self.count:
+        if not any(map(len, self.columns[0])):
             return [np.zeros(0, np.int64)] * 6, np.zeros(0, bool)
         columns = [np.concatenate(c) for c in self.columns]
         order = np.lexsort((columns[4], columns[3], columns[2], columns[1], columns[0]))
@@ -145,9 +148,9 @@ def _spans(number: np.ndarray, twin: np.ndarray, low: np.ndarray, high: np.ndarr
     )
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[Documents, dict]]:
+def _blocks(batches: Iterator[pa.RecordBatch], length: int, bits: np.ndarray | None = None) -> Iterator[tuple[Documents, dict]]:
     """Documents of a task, some at a time, and their bytes."""
-    held, texts = Documents(length), {}
+    held, texts = Documents(length, bits), {}
     for batch in batches:
         ids, twins = (batch.column(c).to_numpy() for c in ("id", "twin"))
         data, offsets = text_buffer(batch.column("text"))
@@ -160,7 +163,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[Do
             held.add(*key, part)
             if held.count >= BLOCK_ANCHORS:
                 yield held, texts
-                held, texts = Documents(length), {}
+                held, texts = Documents(length, bits), {}
     if held.count:
         yield held, texts
 
@@ -246,17 +249,17 @@ def _contexts(length: int, shared):
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
-        for held, texts in _blocks(batches, length):
+        for held, texts in _blocks(batches, length, bits):
             columns, first = held.classes()
-            keep = np.flatnonzero(first)
-            keep = keep[let_through(bits, columns[0][keep].view(np.int64))]
-            _, _, number, twin, place, right = (c[keep] for c in columns)
+            _, _, number, twin, place, right = (c[first] for c in columns)
             sides: dict[tuple[int, bytes], tuple[int, int, int]] = {}
             again = []
             # Anchors come by gram and context; sides are to be met in the order of documents.
             order = np.lexsort((place, twin, number))
+            shown_of, text = None, b""
             for i, t, p, r in zip(*(c[order].tolist() for c in (number, twin, place, right)), strict=True):
-                text = texts[i, t]
+                if (i, t) != shown_of:
+                    shown_of, text = (i, t), texts[i, t].tobytes()
                 # Strings that start at p - half or before, and those that start after that.
                 for side, common, low, high in (
                     (b"<", p - half, max(0, p - margin), p - half + length),
@@ -265,9 +268,9 @@ def _contexts(length: int, shared):
                     high = min(high, p + r)
                     if common < 0 or common + GRAM + half > len(text) or high - low < length:
                         continue
-                    shown = text[common : common + GRAM + half].tobytes()
+                    shown = text[common : common + GRAM + half]
                     key = int.from_bytes(hashlib.blake2b(side + shown, digest_size=8).digest(), "little", signed=True)
-                    content = text[low:high].tobytes()
+                    content = text[low:high]
                     first_place = sides.setdefault((key, content), (i, t, low))
                     if first_place != (i, t, low):
                         again.append((i, t, low, high))
@@ -290,8 +293,8 @@ def _contexts(length: int, shared):
     return contexts
 
 
-def suffix_array(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The suffixes of a text of small numbers in order.
+def suffix_array(text: np.ndarray, ends: np.ndarray, least: int = 0) -> np.ndarray:
+    """The suffixes of a text of small numbers in order, of those with at least ``least`` letters before their separator.
 
     ``ends`` are the places of its separators, 0 in ``text``: each of them is a letter of its own, smaller than all
     others and than the separators after it, so no comparison goes beyond one.
@@ -299,11 +302,17 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
     n = len(text)
     place = np.arange(n)
     until = np.repeat(ends, np.diff(np.append(-1, ends))) - place  # letters before the separator
-    padded = np.append(text, np.zeros(8, text.dtype)).astype(np.int64)
-    key = np.zeros(n, np.int64)
-    for k in range(7):
-        key = key << 9 | np.where(k <= until, padded[k : n + k], 0)
-    reach = 7
+    # As many letters as go into a number, by their places among the letters that occur.
+    known = np.zeros(int(text.max()) + 1, bool)
+    known[text] = True
+    code = (np.cumsum(known) - 1)[text]
+    bits = max(int(known.sum() - 1).bit_length(), 1)
+    reach, key = 1, code
+    while 2 * reach * bits <= 63:
+        after = np.append(key[reach:], np.zeros(min(reach, n), np.int64))
+        after[until < reach] = 0
+        key = key << reach * bits | after
+        reach *= 2
     order = np.argsort(key)
     rank = np.empty(n, np.int64)  # of a suffix: where those begin that are equal as far as they are known
     # What is sorted in a round: suffixes equal to another so far, by where they stand in the order.
@@ -324,20 +333,40 @@ def suffix_array(text: np.ndarray, ends: np.ndarray) -> np.ndarray:
             rank[ended] = slot[which]
         left = tied & ~done
         slot, some = slot[left], some[left]
-        if not len(some):
-            return order
+        if not len(some) or 4 * reach >= least > reach:
+            break
         key = rank[some] * (n + 1) + rank[some + reach] + 1
         by = np.argsort(key)
         some, key = some[by], key[by]
         order[slot] = some
         reach *= 2
+    # The others go on alone, by the ranks of what follows: as many letters again in each round.
+    long = until[some] >= least
+    slot, some = slot[long], some[long]
+    group, at = rank[some], reach
+    while len(some):
+        key = group * (n + 1) + rank[some + at] + 1
+        by = np.argsort(key)
+        some, key = some[by], key[by]
+        order[slot] = some
+        at += reach
+        new = np.append(True, key[1:] != key[:-1])
+        start = np.flatnonzero(new)
+        group = np.repeat(slot[start], np.diff(np.append(start, len(some))))
+        left = ~(new & np.append(new[1:], True))
+        slot, some, group = slot[left], some[left], group[left]
+    return order[until[order] >= least] if least else order
 
 
 class RunIndex:
-    """The runs of a text's Burrows-Wheeler transform, with samples at their heads in text order."""
+    """The runs of a text's Burrows-Wheeler transform, with samples at their heads in text order.
+
+    Only suffixes with ``least`` letters before their separator take part, and only matches of that length count. If
+    a shorter suffix lies between two of the order, it ends within their match, which is too short to count then.
+    """
 
-    def __init__(self, text: np.ndarray, ends: np.ndarray):
-        order = suffix_array(text, ends)
+    def __init__(self, text: np.ndarray, ends: np.ndarray, least: int = 0):
+        order = suffix_array(text, ends, least)
         letter = text[order - 1]
         # Separators are letters of their own, so each is a run.
         head = np.append(True, (letter[1:] != letter[:-1]) | (letter[1:] == 0))
@@ -346,6 +375,8 @@ class RunIndex:
         sample, before = order[at], np.append(-1, order[:-1])[at]
         by_place = np.argsort(sample)
         self.sample, self.before = sample[by_place], before[by_place]
+        if not len(at) or self.sample[0]:  # what comes before all of them matches nothing
+            self.sample, self.before = np.append(0, self.sample), np.append(-1, self.before)
         self.match = self._matches(text, ends)
 
     def _matches(self, text: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -371,7 +402,7 @@ def _marks(rows: list[tuple[int, int, int, bytes]], length: int) -> pa.RecordBat
     ends = np.cumsum(sizes) - 1
     letters = np.frombuffer(b"\0".join(r[3] for r in rows) + b"\0", np.uint8).astype(np.int16) + 1
     letters[ends] = 0
-    before, match = RunIndex(letters, ends).statistics()
+    before, match = RunIndex(letters, ends, length).statistics()
     place = np.arange(len(letters))
     again = match >= length
     root = np.where(again, before, place)
@@ -433,7 +464,7 @@ def _index(length: int):
             yield with_hashes(told.select(["id", "twin", "low", "high"]))
             batch = batch.filter(batch.column("gram").is_valid())
             again = []
-            columns = (batch.column(c).to_pylist() for c in ("gram", "id", "twin", "low", "content"))
+            columns = [*(batch.column(c).to_numpy().tolist() for c in ("gram", "id", "twin", "low")), batch.column("content").to_pylist()]
             for g, i, t, low, content in zip(*columns, strict=True):
                 if g != gram:
                     if len(group) > 1:

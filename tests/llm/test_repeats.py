@@ -58,6 +58,24 @@ def test_run_index_streams_matching_statistics():
             assert (before[p], match[p]) == (q, n)
 
 
+def test_an_index_of_the_suffixes_that_are_long_enough():
+    rng = random.Random(11)
+    for least in (1, 3, 12, 40, 100):
+        for letters in ("a", "ab", "abcdefgh"):
+            base = ["".join(rng.choices(letters, k=120)) for _ in range(4)]
+            parts = [b[rng.randrange(9) :] + rng.choice(letters) for b in base for _ in range(5)] + ["", letters]
+            rng.shuffle(parts)
+            text = np.frombuffer(b"\0".join(p.encode() for p in parts) + b"\0", np.uint8).astype(np.int16)
+            ends = np.flatnonzero(text == 0)
+            until = ends[np.searchsorted(ends, np.arange(len(text)))] - np.arange(len(text))
+            full = suffix_array(text, ends)
+            assert suffix_array(text, ends, least).tolist() == full[until[full] >= least].tolist()
+            (before, match), (some_before, some_match) = RunIndex(text, ends).statistics(), RunIndex(text, ends, least).statistics()
+            again = match >= least
+            assert (again == (some_match >= least)).all()
+            assert (before[again] == some_before[again]).all() and (match[again] == some_match[again]).all()
+
+
 def test_a_repetitive_text_has_few_runs():
     line = np.frombuffer(b"the same line again and again. ", np.uint8).astype(np.int16) + 1
     letters = np.append(np.tile(line, 400), 0)
